@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from fieldtally.bindings import scalar_queries, scan_queries  # noqa: F401
+from fieldtally.bindings import (  # noqa: F401
+    group_queries,
+    join_queries,
+    model_queries,
+    plan_queries,
+    report_queries,
+    scalar_queries,
+    scan_queries,
+)
 from fieldtally.bindings.registry import ORACLES, QUERIES, Query
 
 

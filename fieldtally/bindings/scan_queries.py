@@ -22,16 +22,17 @@ KEY = readers.market_key(*league.PAGE_KEY)
 def market_pages(spark, folder):
     """Customers as pages with an embedded market document, one player each."""
     text = """format_string('<html><script>var vueAppData = {"teams":[{"id":%d,"abbr":"N%d"},{"id":99,"abbr":"ZZZ"}],
-        "projections":[{"first_name":" %s","last_name":"%d ","position":"%s",%s,"adps":{"%s":
+        "projections":[{"first_name":" %s","last_name":"%s ","position":"%s",%s,"adps":{"%s":
         {"overall_pick_number":%d}}}]}; var other = {"teams":[]};</script></html>',
-        if(c_nationkey = 5, 98, c_nationkey), c_nationkey, 'Customer', c_custkey, c_mktsegment,
+        if(c_nationkey = 5, 98, c_nationkey), c_nationkey,
+        if(c_nationkey = 3, 'New.', 'Customer'), substring(c_name, 10), c_mktsegment,
         if(c_acctbal > 0, concat('"team_id":', c_nationkey), concat('"team_id":0,"team":{"id":', c_nationkey, '}')),
         if(c_nationkey < 20, '11::107::12', '1::2::3'), cast(round(c_acctbal * 100) as bigint))"""
     return t.table(spark, folder, "customer").select("c_custkey", F.expr(text).alias("html"))
 
 
 PAGE_PLAYERS = """
-    SELECT 'Customer ' || c_custkey AS player_name, c_mktsegment AS position,
+    SELECT CASE WHEN c_nationkey = 3 THEN 'New. ' ELSE 'Customer ' END || c_name[10:] AS player_name, c_mktsegment AS position,
            CASE WHEN c_nationkey IN (5, 0) THEN '' ELSE 'N' || c_nationkey END AS team,
            round(c_acctbal * 100) AS adp_overall
     FROM customer WHERE c_nationkey < 20 AND c_mktsegment <> 'HOUSEHOLD'"""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Values of the generated tables that play a part below.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")
@@ -29,9 +30,15 @@ TRACKING = {
 }
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the generated tables."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the generated tables. Its schema is read from the files once, not once per use."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _int(c) -> F.Column:

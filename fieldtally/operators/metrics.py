@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from fieldtally.functions.numeric import flag, half_even, pearson
 from fieldtally.operators.ordering import rank_average, rank_cutoff
+from fieldtally.session import settle
+
+
+TOPK_METRICS = ("precision_at_k", "spearman_at_k", "mae_at_k")
 
 
 def mean_absolute_error(y: str, pred: str) -> Column:
@@ -38,20 +42,12 @@ def _limit(k: int | Mapping[str, int], key: str | None) -> tuple[int, Column]:
     return max(k.values()), table[F.col(key)]
 
 
-def topk_by_period(
-    df: DataFrame, y: str, pred: str, period: str, k: int | Mapping[str, int], by: Sequence[str] = (),
-    k_key: str | None = None,
+def _topk(
+    rows: DataFrame, period: str, k: int | Mapping[str, int], by: Sequence[str], k_key: str | None
 ) -> DataFrame:
-    """Per group and period: precision, Spearman and MAE within the actual top k.
-
-    Periods with fewer than k rows are left out. ``k`` may differ by the
-    values of the column ``k_key``. Membership is a comparison with the k-th
-    value, so ties at the edge are all members while precision still divides
-    by k.
-    """
+    """Metrics per group and period of rows (by.., period, _y, _p) that are cheap to read several times."""
     group = [*by, period]
     largest, own = _limit(k, k_key)
-    rows = df.select(*group, F.col(y).alias("_y"), F.col(pred).alias("_p"))
     cut_y = rank_cutoff(rows, group, "_y", largest, "_cut_y", own)
     cut_p = rank_cutoff(rows, group, "_p", largest, "_cut_p", own)
     marked = rows.join(cut_y.join(cut_p, group), group).select(
@@ -63,20 +59,38 @@ def topk_by_period(
         F.sum(flag(F.col("_actual") & F.col("_predicted"))).alias("_hits"),
         F.avg(F.when(F.col("_actual"), F.abs(F.col("_y") - F.col("_p")))).alias("mae_at_k"),
     )
-    rho = spearman(marked.where("_actual"), "_p", "_y", group, "spearman_at_k")
+    rho = spearman(marked.where("_actual").select(*group, "_y", "_p"), "_p", "_y", group, "spearman_at_k")
     return stats.where(F.col("_rows") >= own).join(rho, group, "left").select(
         *group, (F.col("_hits") / own).alias("precision_at_k"), "spearman_at_k", "mae_at_k"
     )
 
 
+def _mean_over_periods(per: DataFrame, by: Sequence[str]) -> DataFrame:
+    return per.groupBy(*by).agg(*[F.avg(m).alias(m) for m in TOPK_METRICS])
+
+
+def topk_by_period(
+    df: DataFrame, y: str, pred: str, period: str, k: int | Mapping[str, int], by: Sequence[str] = (),
+    k_key: str | None = None,
+) -> DataFrame:
+    """Per group and period: precision, Spearman and MAE within the actual top k.
+
+    Periods with fewer than k rows are left out. ``k`` may differ by the
+    values of the column ``k_key``. Membership is a comparison with the k-th
+    value, so ties at the edge are all members while precision still divides
+    by k. Outcomes and predictions are written once and then read by each of
+    the passes.
+    """
+    rows = settle(df.select(*by, period, F.col(y).alias("_y"), F.col(pred).alias("_p")))
+    return _topk(rows, period, k, by, k_key)
+
+
 def topk_metrics(
     df: DataFrame, y: str, pred: str, period: str, k: int | Mapping[str, int], by: Sequence[str] = (),
     k_key: str | None = None,
 ) -> DataFrame:
     """The per-period metrics averaged over periods. A period without a Spearman value is left out of its mean."""
-    per = topk_by_period(df, y, pred, period, k, by, k_key)
-    names = ("precision_at_k", "spearman_at_k", "mae_at_k")
-    return per.groupBy(*by).agg(*[F.avg(m).alias(m) for m in names])
+    return _mean_over_periods(topk_by_period(df, y, pred, period, k, by, k_key), by)
 
 
 def evaluate(
@@ -84,12 +98,12 @@ def evaluate(
     by: Sequence[str] = (), k_key: str | None = None, places: int = 3,
 ) -> DataFrame:
     """Tidy (by.., model, metric, value) table for several prediction columns at once."""
-    models = df.select(*by, period, y, *[F.col(p).cast("double").alias(p) for p in preds]).unpivot(
-        [*by, period, y], list(preds), "model", "_pred"
-    )
+    slim = df.select(*by, period, F.col(y).alias("_y"), *[F.col(p).cast("double").alias(p) for p in preds])
+    rows = settle(slim.unpivot([*by, period, "_y"], list(preds), "model", "_p"))
     keys = [*by, "model"]
-    pooled = accuracy(models, y, "_pred", keys)
-    ranked = topk_metrics(models, y, "_pred", period, k, keys, k_key)
-    names = ["mae", "r", "precision_at_k", "spearman_at_k", "mae_at_k"]
-    wide = pooled.join(ranked, keys, "left").select(*keys, *[half_even(F.col(m), places).alias(m) for m in names])
-    return wide.unpivot(keys, names, "metric", "value")
+    ranked = _mean_over_periods(_topk(rows, period, k, keys, k_key), keys)
+    names = ["mae", "r", *TOPK_METRICS]
+    wide = accuracy(rows, "_y", "_p", keys).join(ranked, keys, "left")
+    return wide.select(*keys, *[half_even(F.col(m), places).alias(m) for m in names]).unpivot(
+        keys, names, "metric", "value"
+    )

@@ -7,12 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from fieldtally.contracts import PLAY_FEATURES
 from fieldtally.functions.numeric import flag, safe_ratio, sum_or_zero, to_number
 from fieldtally.operators.aggregates import conditional_counts, group_denominators, group_present, weighted_mean
 from fieldtally.operators.joins import crosswalk, join_crosswalk, outer_join_first_wins, outer_join_suffix
 from fieldtally.operators.ordering import dominant
 from fieldtally.operators.project import conform, select_present, stack_frames
 from fieldtally.plans import league
+from fieldtally.session import settle
 
 KEYS = ("player_id", "season")
 REGULAR = "season_type = 'REG'"
@@ -121,49 +123,79 @@ def rusher_team(plays: DataFrame) -> DataFrame:
     return dominant(carries, KEYS, "posteam")
 
 
-def play_features(plays: DataFrame) -> DataFrame:
-    """Receiver, rusher and team-share features per player-season.
+# Columns of the one-pass play table: output -> condition counted.
+_LEVEL_COUNTS = {
+    "n": "true", "red_zone": RED_ZONE, "goal_line": GOAL_LINE, "designed": "qb_scramble = 0",
+    "scrambled": "qb_scramble = 1",
+}
+
 
-    The plays, the largest table, are scanned once: every play is counted at
-    up to three levels (rusher within team, receiver, team) in one grouped
-    pass that combines before its only shuffle.
+def play_levels(plays: DataFrame) -> DataFrame:
+    """Plays counted per (season, kind, player, team), kind being passer, rusher or receiver.
+
+    This is the only pass over the plays, the largest table: each play emits
+    one entry per role it fills and the entries combine before the shuffle.
+    The result is written once because several groupings read it; left lazy,
+    the optimizer would push each grouping's filter down and scan the plays
+    again for every one. Rows without a player or team stay, as they count for
+    totals.
     """
     p = clean_plays(plays)
-    player_type, team_type = plays.schema["rusher_player_id"].dataType, plays.schema["posteam"].dataType
-    entry = lambda kind, player, team: F.struct(
-        F.lit(kind).alias("kind"), player.cast(player_type).alias("player"), team.cast(team_type).alias("team")
+    who = plays.schema["rusher_player_id"].dataType
+    role = lambda kind, cond, column: F.when(
+        F.expr(cond), F.struct(F.lit(kind).alias("kind"), F.col(column).cast(who).alias("player_id"))
     )
-    none = F.lit(None)
-    levels = F.array(
-        F.when(F.expr(CARRY), entry("rusher", F.col("rusher_player_id"), F.col("posteam"))),
-        F.when(F.expr(TARGET), entry("receiver", F.col("receiver_player_id"), none)),
-        F.when(F.expr(f"{PASS} or {RUSH}"), entry("team", none, F.col("posteam"))),
+    roles = F.array_compact(F.array(
+        role("passer", PASS, "passer_player_id"), role("rusher", RUSH, "rusher_player_id"),
+        role("receiver", TARGET, "receiver_player_id"),
+    ))
+    measures = {name: _flag(cond) for name, cond in _LEVEL_COUNTS.items()}
+    for name, column in {"air": "air_yards", "yac": "yards_after_catch", "cpoe": "cpoe"}.items():
+        if column in p.columns:
+            measures[name] = F.col(column)
+    if "complete_pass" in p.columns:
+        measures["caught"] = to_number(F.col("complete_pass"))
+    totals = [F.sum(m).alias(m) for m in measures]
+    if "cpoe" in measures:
+        totals.append(F.count("cpoe").alias("cpoe_n"))
+    entries = p.where(f"season is not null and ({PASS} or {RUSH} or {TARGET})").select(
+        "season", F.col("posteam").alias("team"), F.explode(roles).alias("role"),
+        *[m.alias(name) for name, m in measures.items()],
     )
-    counted = (
-        p.where(f"season is not null and ({PASS} or {RUSH} or {TARGET})")
-        .select(
-            "season", F.explode(F.array_compact(levels)).alias("e"), _flag(PASS).alias("passes"),
-            _flag(RUSH).alias("rushes"), *[_flag(cond).alias(name) for name, cond in RUSH_COUNTS.items()],
-        )
-        .groupBy("season", "e.kind", "e.player", "e.team")
-        .agg(*[F.sum(c).alias(c) for c in ("passes", "rushes", *RUSH_COUNTS)])
+    return settle(
+        entries.groupBy("season", F.col("role.kind").alias("kind"), F.col("role.player_id").alias("player_id"), "team")
+        .agg(*totals)
     )
-    player = F.col("player").alias("player_id")
-    best_team = F.min(F.when(F.col("team").isNotNull(), F.struct((-F.col("carries")).alias("rank"), "team")))
-    rusher = (
-        counted.where("kind = 'rusher'").groupBy("player", "season")
-        .agg(*[F.sum(c).alias(c) for c in RUSH_COUNTS], best_team["team"].alias("team"))
+
+
+def _of(kind: str, column: str):
+    return F.sum(F.when(F.col("kind") == kind, F.col(column)))
+
+
+def play_features(plays: DataFrame, levels: DataFrame | None = None) -> DataFrame:
+    """Receiver, rusher and team-share features per player-season.
+
+    A player without rushes (or targets) has NULL in those columns, as an
+    outer join of the two groups would give; one grouping supplies both.
+    """
+    levels = play_levels(plays) if levels is None else levels
+    main_team = F.min(F.when(
+        (F.col("kind") == "rusher") & F.col("team").isNotNull(), F.struct((-F.col("n")).alias("rank"), "team")
+    ))
+    player = levels.where("kind <> 'passer' and player_id is not null").groupBy(*KEYS).agg(
+        _of("receiver", "red_zone").alias("rz_targets"), _of("rusher", "n").alias("carries"),
+        _of("rusher", "red_zone").alias("rz_carries"), _of("rusher", "goal_line").alias("goalline_carries"),
+        _of("rusher", "designed").alias("designed_rushes"), _of("rusher", "scrambled").alias("scrambles"),
+        main_team["team"].alias("team"),
     )
-    team = counted.where("kind = 'team' and team is not null").select(
-        "team", "season", F.col("rushes").alias("_rushes"),
-        safe_ratio(F.col("passes"), F.col("passes") + F.col("rushes")).alias("team_pass_rate"),
+    team = levels.where("kind <> 'receiver' and team is not null").groupBy("team", "season").agg(
+        F.coalesce(_of("passer", "n"), F.lit(0)).alias("passes"), F.coalesce(_of("rusher", "n"), F.lit(0)).alias("rushes")
     )
-    shares = rusher.join(team, ["team", "season"], "left").select(
-        player, "season", *RUSH_COUNTS, "team_pass_rate",
-        safe_ratio(F.col("carries"), F.col("_rushes")).alias("carry_share"),
+    return player.join(team, ["team", "season"], "left").select(
+        *KEYS, "rz_targets", "carries", "rz_carries", "goalline_carries", "designed_rushes", "scrambles",
+        safe_ratio(F.col("passes"), F.col("passes") + F.col("rushes")).alias("team_pass_rate"),
+        safe_ratio(F.col("carries"), F.col("rushes")).alias("carry_share"),
     )
-    receiver = counted.where("kind = 'receiver'").select(player, "season", F.col("rz_carries").alias("rz_targets"))
-    return outer_join_first_wins([receiver, shares], KEYS, unique_keys=True)
 
 
 def feature_table(
@@ -183,70 +215,54 @@ def feature_table(
     return outer_join_first_wins(frames, KEYS) if frames else None
 
 
-def passing_detail(plays: DataFrame) -> DataFrame:
-    """Completion over expectation, depth per attempt and red-zone attempts per passer (cleaned plays)."""
-    attempts = plays.where(PASS).withColumnsRenamed({"passer_player_id": "player_id"})
-    return group_present(attempts, KEYS).agg(
-        F.avg("cpoe").alias("cpoe"),
-        safe_ratio(sum_or_zero(F.col("air_yards")), F.count(F.lit(1))).alias("air_yards_per_attempt"),
-        F.sum(_flag(RED_ZONE)).alias("rz_pass_attempts"),
+def passing_detail(levels: DataFrame) -> DataFrame:
+    """Completion over expectation, depth per attempt and red-zone attempts per passer."""
+    passers = levels.where("kind = 'passer' and player_id is not null")
+    return passers.groupBy(*KEYS).agg(
+        safe_ratio(F.sum("cpoe"), F.sum("cpoe_n")).alias("cpoe"),
+        safe_ratio(sum_or_zero(F.col("air")), F.sum("n")).alias("air_yards_per_attempt"),
+        F.sum("red_zone").alias("rz_pass_attempts"),
     )
 
 
-def receiving_detail(plays: DataFrame) -> DataFrame:
-    """Targets, depth, catch rate, yards after catch and shares of the dominant team's totals (cleaned plays)."""
-    return _shared(
-        plays.where(TARGET), "receiver_player_id",
-        {
-            "targets": F.count(F.lit(1)), "rz_targets": F.sum(_flag(RED_ZONE)),
-            "_air": sum_or_zero(F.col("air_yards")), "_caught": sum_or_zero(to_number(F.col("complete_pass"))),
-            "_yac": sum_or_zero(F.col("yards_after_catch")),
-        },
-        {"target_share": "targets", "air_yards_share": "_air", "rz_target_share": "rz_targets"},
-    ).withColumns({
+def receiving_detail(levels: DataFrame) -> DataFrame:
+    """Targets, depth, catch rate, yards after catch and shares of the main team's totals."""
+    measures = {"targets": "n", "rz_targets": "red_zone", "_air": "air", "_caught": "caught", "_yac": "yac"}
+    shares = {"target_share": "targets", "air_yards_share": "_air", "rz_target_share": "rz_targets"}
+    return _shared(levels, ["receiver"], measures, shares).withColumns({
         "adot": safe_ratio(F.col("_air"), F.col("targets")),
         "catch_rate": safe_ratio(F.col("_caught"), F.col("targets")),
         "yac_per_reception": safe_ratio(F.col("_yac"), F.col("_caught")),
     }).drop("_air", "_caught", "_yac")
 
 
-def rushing_detail(plays: DataFrame) -> DataFrame:
-    """Carries by zone and the share of the dominant team's red-zone carries (cleaned plays)."""
-    return _shared(
-        plays.where(CARRY), "rusher_player_id",
-        {"carries": F.count(F.lit(1)), "rz_carries": F.sum(_flag(RED_ZONE)),
-         "goalline_carries": F.sum(_flag(GOAL_LINE))},
-        {"rz_carry_share": "rz_carries"},
-    )
-
+def rushing_detail(levels: DataFrame) -> DataFrame:
+    """Carries by zone and the share of the main team's red-zone carries."""
+    measures = {"carries": "n", "rz_carries": "red_zone", "goalline_carries": "goal_line"}
+    return _shared(levels, ["rusher"], measures, {"rz_carry_share": "rz_carries"})
 
-def opportunity_share(plays: DataFrame) -> DataFrame:
-    """Targets plus carries as a share of the dominant team's (cleaned plays)."""
-    use = lambda cond, who: plays.where(cond).select(F.col(who).alias("who"), "season", "posteam")
-    chances = use(TARGET, "receiver_player_id").unionByName(use(CARRY, "rusher_player_id"))
-    return _shared(chances, "who", {"opportunities": F.count(F.lit(1))}, {"opportunity_share": "opportunities"})
 
+def opportunity_share(levels: DataFrame) -> DataFrame:
+    """Targets plus carries as a share of the main team's."""
+    return _shared(levels, ["receiver", "rusher"], {"opportunities": "n"}, {"opportunity_share": "opportunities"})
 
-def _shared(plays: DataFrame, who: str, counts: Mapping[str, object], shares: Mapping[str, str]) -> DataFrame:
-    """Counts per player-season and their share of the team with most of the player's plays.
 
-    One pass at (player, season, team); player and team totals both come from
-    that small result.
-    """
-    per = plays.withColumnsRenamed({who: "player_id"}).where(
-        F.col("player_id").isNotNull() & F.col("season").isNotNull()
-    )
-    fine = per.groupBy(*KEYS, "posteam").agg(
-        F.count(F.lit(1)).alias("_plays"), *[c.alias(name) for name, c in counts.items()]
+def _shared(
+    levels: DataFrame, kinds: Sequence[str], measures: Mapping[str, str], shares: Mapping[str, str]
+) -> DataFrame:
+    """Measures per player-season and their share of the team the player appeared for most."""
+    fine = levels.where(F.col("kind").isin(*kinds))
+    sums = [sum_or_zero(F.col(column)).alias(name) for name, column in measures.items()]
+    per_team = fine.where("player_id is not null").groupBy(*KEYS, "team").agg(F.sum("n").alias("_plays"), *sums)
+    main_team = F.min(F.when(F.col("team").isNotNull(), F.struct((-F.col("_plays")).alias("rank"), "team")))
+    player = per_team.groupBy(*KEYS).agg(
+        *[F.sum(c).alias(c) for c in measures], main_team["team"].alias("team")
     )
-    best = F.min(F.when(F.col("posteam").isNotNull(), F.struct((-F.col("_plays")).alias("rank"), "posteam")))
-    player = fine.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in counts], best["posteam"].alias("posteam"))
-    used = set(shares.values())
-    team = fine.dropna(subset=["posteam"]).groupBy("posteam", "season").agg(
-        *[F.sum(c).alias(f"_team_{c}") for c in used]
+    team = fine.where("team is not null").groupBy("team", "season").agg(
+        *[sum_or_zero(F.col(measures[c])).alias(f"_team_{c}") for c in sorted(set(shares.values()))]
     )
-    return player.join(team, ["posteam", "season"], "left").select(
-        *KEYS, *counts, *[safe_ratio(F.col(c), F.col(f"_team_{c}")).alias(out) for out, c in shares.items()]
+    return player.join(team, ["team", "season"], "left").select(
+        *KEYS, *measures, *[safe_ratio(F.col(c), F.col(f"_team_{c}")).alias(out) for out, c in shares.items()]
     )
 
 
@@ -258,7 +274,11 @@ def pressure_to_sack_rate(plays: DataFrame, pressure: str = "was_pressure") -> D
 
 
 def play_detail(plays: DataFrame) -> DataFrame:
-    """The wide per-player play table: passing, receiving, rushing and combined columns."""
-    p = clean_plays(plays)
-    frames = [passing_detail(p), receiving_detail(p), rushing_detail(p), opportunity_share(p).drop("opportunities")]
-    return outer_join_first_wins(frames, KEYS, unique_keys=True)
+    """The wide per-player play table: passing, receiving, rushing and combined columns, from one pass."""
+    levels = play_levels(plays)
+    frames = [
+        passing_detail(levels), receiving_detail(levels), rushing_detail(levels),
+        opportunity_share(levels).drop("opportunities"),
+    ]
+    wide = outer_join_first_wins(frames, KEYS, unique_keys=True)
+    return select_present(wide, PLAY_FEATURES.fieldNames())
