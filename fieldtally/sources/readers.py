@@ -59,12 +59,13 @@ def extract_script_json(
 ) -> DataFrame:
     """Parse the object assigned to a script variable inside a page; what follows it is ignored.
 
-    ``strict`` fails the job on a page without a readable object, else the
-    value is NULL.
+    ``strict`` fails the job on a page without a readable object. Otherwise a
+    missing object is NULL and a broken one has NULL fields.
     """
-    parsed = F.from_json(_script_tail(F.col(html), variable), schema)
+    mode = {"mode": "FAILFAST"} if strict else {}
+    parsed = F.from_json(_script_tail(F.col(html), variable), schema, mode)
     if strict:
-        error = F.raise_error(F.lit(f"no readable object assigned to {variable}"))
+        error = F.raise_error(F.lit(f"no object assigned to {variable}"))
         parsed = F.coalesce(parsed, error.cast(schema))
     return df.withColumn(out, parsed)
 
