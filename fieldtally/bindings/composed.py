@@ -8,6 +8,7 @@ from fieldtally.bindings import tables as t
 from fieldtally.plans import features as feat
 from fieldtally.plans.mega import mega_table
 from fieldtally.plans.season_stats import season_stats as build_season_stats
+from fieldtally.session import settle
 
 ROSTER_ORDER = ("row_date", "row_id")
 
@@ -41,8 +42,9 @@ def feature_table(spark, folder) -> DataFrame:
 
 
 def mega(spark, folder, with_features: bool = True, **options) -> DataFrame:
-    features = feature_table(spark, folder) if with_features else None
+    """The wide table. Stats and features are stored first, as several steps read each of them."""
+    features = settle(feature_table(spark, folder), "features") if with_features else None
     return mega_table(
-        season_stats(spark, folder), t.market(spark, folder), features, (t.FEED,), t.STATS,
+        settle(season_stats(spark, folder), "season-stats"), t.market(spark, folder), features, (t.FEED,), t.STATS,
         first_season=t.FIRST_SEASON, **options,
     )

@@ -130,24 +130,28 @@ def match_entities(
 
     Every namesake with the same keys is matched. ``unmatched="generate"``
     keeps rows without a match under an id built from their name, flagged by
-    ``is_generated``.
+    ``is_generated``. Matches come from an inner join, where a frequent name
+    can be split on either side, and misses from an anti-join with the
+    distinct names.
     """
+    if unmatched not in ("drop", "generate"):
+        raise ValueError(f"unknown unmatched rule: {unmatched}")
+    on = ["name_norm", *keys]
     keyed = feed.withColumn("name_norm", normalize_name(replace_exact(F.col(name), fixes or {}), suffixes))
     people = (
         roster.select(entity, roster_name, *keys).distinct()
         .select(F.col(entity), normalize_name(F.col(roster_name), suffixes).alias("name_norm"), *keys)
+        .dropna(subset=[entity])
     )
-    joined = keyed.join(people, ["name_norm", *keys], "left")
-    missing = F.col(entity).isNull()
+    matched = keyed.join(people, on, "inner")
+    missing = keyed.join(people.select(*on).distinct(), on, "left_anti")
     if unmatched == "drop":
-        return joined.where(~missing), joined.where(missing).drop(entity)
-    if unmatched != "generate":
-        raise ValueError(f"unknown unmatched rule: {unmatched}")
-    named = joined.withColumns({
-        "is_generated": missing,
-        entity: F.coalesce(F.col(entity).cast("string"), surrogate_id(F.col(name), prefix)),
+        return matched, missing
+    generated = missing.withColumns({
+        entity: surrogate_id(F.col(name), prefix), "is_generated": F.lit(True)
     })
-    return named, named.where("is_generated")
+    known = matched.withColumns({entity: F.col(entity).cast("string"), "is_generated": F.lit(False)})
+    return known.unionByName(generated), generated
 
 
 def ambiguous_names(

@@ -50,7 +50,9 @@ def _topk(
     largest, own = _limit(k, k_key)
     cut_y = rank_cutoff(rows, group, "_y", largest, "_cut_y", own)
     cut_p = rank_cutoff(rows, group, "_p", largest, "_cut_p", own)
-    marked = rows.join(cut_y.join(cut_p, group), group).select(
+    # One row per group, written so that the optimizer knows its size and can broadcast it when small.
+    cuts = settle(cut_y.join(cut_p, group))
+    marked = rows.join(cuts, group).select(
         *group, "_y", "_p", (F.col("_y") >= F.col("_cut_y")).alias("_actual"),
         (F.col("_p") >= F.col("_cut_p")).alias("_predicted"),
     )

@@ -1,8 +1,8 @@
 """Baseline-plus-residual regressions, fitted per group in grouped jobs where the algebra allows it.
 
-Group parameters (medians, means, coefficients) have one row per group. The
-callers restrict groups to a literal list, which bounds those tables, so they
-are broadcast.
+Group parameters (medians, means, coefficients) have one row per group and are
+written once, like a saved model. The optimizer then knows their size: it
+broadcasts them when that is small and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.operators.ordering import exact_medians
+from fieldtally.session import settle
 
 
 def time_split(df: DataFrame, period: str, train: Sequence[int], test: Sequence[int]) -> tuple[DataFrame, DataFrame]:
@@ -24,14 +25,15 @@ def time_split(df: DataFrame, period: str, train: Sequence[int], test: Sequence[
 
 
 def _attach(df: DataFrame, params: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(params), list(by), "left") if by else df.crossJoin(F.broadcast(params))
+    """Put the group's parameters next to each row; without groups there is a single parameter row."""
+    return df.join(params, list(by), "left") if by else df.join(params, F.lit(True), "left")
 
 
 def median_table(train: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """One row per group with a ``_med_<col>`` per column."""
     tall = exact_medians(train, cols, by)
     wide = tall.groupBy(*by).pivot("feature", list(cols)).agg(F.first("median"))
-    return wide.select(*by, *[F.col(c).alias(f"_med_{c}") for c in cols])
+    return settle(wide.select(*by, *[F.col(c).alias(f"_med_{c}") for c in cols]))
 
 
 def impute_median(df: DataFrame, medians: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -50,9 +52,9 @@ def impute_median(df: DataFrame, medians: DataFrame, cols: Sequence[str], by: Se
 def scale_table(train: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Mean and population standard deviation per group; a constant column gets scale 1."""
     spread = lambda c: F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(1.0)
-    return train.groupBy(*by).agg(
+    return settle(train.groupBy(*by).agg(
         *[F.avg(c).alias(f"_mean_{c}") for c in cols], *[spread(c).alias(f"_std_{c}") for c in cols]
-    )
+    ))
 
 
 def standardize(df: DataFrame, scales: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -75,12 +77,12 @@ def ridge_pair(
         F.sum(a * F.col(y)).alias("ay"), F.sum(b * F.col(y)).alias("cy"),
     )
     det = F.col("aa") * F.col("bb") - F.col("ab") * F.col("ab")
-    return sums.select(
+    return settle(sums.select(
         *by, "intercept",
         ((F.col("ay") * F.col("bb") - F.col("ab") * F.col("cy")) / det).alias(f"coef_{x[0]}"),
         ((F.col("cy") * F.col("aa") - F.col("ab") * F.col("ay")) / det).alias(f"coef_{x[1]}"),
         "n_train",
-    )
+    ))
 
 
 def predict_pair(df: DataFrame, coefs: DataFrame, x: tuple[str, str], by: Sequence[str], out: str) -> DataFrame:

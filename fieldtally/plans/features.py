@@ -145,10 +145,10 @@ def play_levels(plays: DataFrame) -> DataFrame:
     role = lambda kind, cond, column: F.when(
         F.expr(cond), F.struct(F.lit(kind).alias("kind"), F.col(column).cast(who).alias("player_id"))
     )
-    roles = F.array_compact(F.array(
+    roles = F.array(
         role("passer", PASS, "passer_player_id"), role("rusher", RUSH, "rusher_player_id"),
         role("receiver", TARGET, "receiver_player_id"),
-    ))
+    )
     measures = {name: _flag(cond) for name, cond in _LEVEL_COUNTS.items()}
     for name, column in {"air": "air_yards", "yac": "yards_after_catch", "cpoe": "cpoe"}.items():
         if column in p.columns:
@@ -161,7 +161,7 @@ def play_levels(plays: DataFrame) -> DataFrame:
     entries = p.where(f"season is not null and ({PASS} or {RUSH} or {TARGET})").select(
         "season", F.col("posteam").alias("team"), F.explode(roles).alias("role"),
         *[m.alias(name) for name, m in measures.items()],
-    )
+    ).where("role is not null")
     return settle(
         entries.groupBy("season", F.col("role.kind").alias("kind"), F.col("role.player_id").alias("player_id"), "team")
         .agg(*totals)

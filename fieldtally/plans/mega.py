@@ -19,16 +19,18 @@ from fieldtally.plans import league
 KEYS = ("player_id", "season")
 
 
-def outcomes(stats: DataFrame, relevant: DataFrame) -> DataFrame:
-    """Players that ever had a price, with points per game, career season and finish.
+def outcomes(stats: DataFrame, relevant: DataFrame, prior: Sequence[str] = ()) -> DataFrame:
+    """Players that ever had a price, with points per game, career season, prior values and finish.
 
     The order matters: ranks only count relevant players, and career seasons
-    count from the first stored season.
+    count from the first stored season. Career and prior values share one
+    shuffle by player, the one of the semi-join.
     """
     kept = semi_relevant(stats, relevant, "player_id")
-    careers = ordinal(kept, "player_id", "season", "career_season")
-    rated = careers.withColumn("ppg", safe_ratio(F.col("fantasy_points_ppr"), F.col("games_played")))
-    return rank_min(rated, ["season", "position"], "fantasy_points_ppr", "finish")
+    rated = kept.withColumn("ppg", safe_ratio(F.col("fantasy_points_ppr"), F.col("games_played")))
+    careers = ordinal(rated, "player_id", "season", "career_season")
+    timed = prior_period(careers, "player_id", "season", prior) if prior else careers
+    return rank_min(timed, ["season", "position"], "fantasy_points_ppr", "finish")
 
 
 def mega_table(
@@ -49,7 +51,7 @@ def mega_table(
     """
     market = market.where(F.col("source").isin(*sources))
     prior_cols = ["ppg", *[c for c in stat_cols if c in stats.columns]]
-    rows = prior_period(outcomes(stats, market), "player_id", "season", prior_cols)
+    rows = outcomes(stats, market, prior_cols)
     rows = rows.join(mean_across(market, KEYS, list(league.MARKET_COLUMNS)), list(KEYS), "left")
     if features is not None:
         rows = left_join_new_columns(rows, features, KEYS)

@@ -13,7 +13,6 @@ TUNING = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -45,16 +44,24 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def settle(df: DataFrame) -> DataFrame:
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path inside the shared folder, below one folder per application."""
+    return f"{shared_dir(spark)}/fieldtally-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """Write ``df`` to the shared folder and continue from those files.
 
-    Later reads of the result see the same rows in the same partitions even
-    when executors are lost.
+    Later reads see the same rows even when executors are lost, read only the
+    columns they need, and know the size of the table. The files stay until
+    the application's scratch folder is removed.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path inside the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete everything this application settled; returns whether there was something to delete."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/fieldtally-{spark.sparkContext.applicationId}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
