@@ -24,8 +24,7 @@ def flag(condition: Column) -> Column:
 
 def to_number(col: Column) -> Column:
     """Double value of a column; text that is not a number, NaN and NULL count as 0."""
-    number = col.try_cast("double")
-    return F.when(number.isNull() | F.isnan(number), 0.0).otherwise(number)
+    return F.coalesce(F.nanvl(col.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def half_even(col: Column, places: int) -> Column:
