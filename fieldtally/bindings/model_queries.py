@@ -218,7 +218,7 @@ def _(spark, folder):
 
 @query("m15_metrics_table")
 def _(spark, folder):
-    return valued(spark, folder, False).metrics
+    return valued(spark, folder, False).metrics()
 
 
 @query("m16_model_vs_market", with_views("""
@@ -261,4 +261,4 @@ def _(spark, folder):
 
 @query("q10_valuation_model")
 def _(spark, folder):
-    return valued(spark, folder, True).metrics
+    return valued(spark, folder, True).metrics()

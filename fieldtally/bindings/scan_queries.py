@@ -33,7 +33,8 @@ def market_pages(spark, folder):
 
 PAGE_PLAYERS = """
     SELECT CASE WHEN c_nationkey = 3 THEN 'New. ' ELSE 'Customer ' END || c_name[10:] AS player_name, c_mktsegment AS position,
-           CASE WHEN c_nationkey IN (5, 0) THEN '' ELSE 'N' || c_nationkey END AS team,
+           -- Nation 5 is not in the team list. A zero team id counts as missing, a zero id of the nested team does not.
+           CASE WHEN c_nationkey = 5 OR (c_nationkey = 0 AND c_acctbal > 0) THEN '' ELSE 'N' || c_nationkey END AS team,
            round(c_acctbal * 100) AS adp_overall
     FROM customer WHERE c_nationkey < 20 AND c_mktsegment <> 'HOUSEHOLD'"""
 

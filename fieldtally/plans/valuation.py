@@ -27,13 +27,19 @@ class Valuation:
     """Everything one run produces."""
 
     predictions: DataFrame
-    metrics: DataFrame
     residual_stats: DataFrame
     coefficients: DataFrame
     importances: DataFrame | None
     features: list[str]
+    top_k: Mapping[str, int]
+    group: str = "position"
     models: dict[str, object] = field(default_factory=dict)
 
+    def metrics(self) -> DataFrame:
+        """(group, model, metric, value) for all models, measured on the test seasons in one job."""
+        names = [c for c in ("market", "ridge", "boosted") if c in self.predictions.columns]
+        return evaluate(self.predictions, TARGET, names, "season", dict(self.top_k), [self.group], self.group)
+
 
 def training_rows(
     mega: DataFrame, groups: Sequence[str], features: Sequence[str], train: Sequence[int], test: Sequence[int],
@@ -74,7 +80,7 @@ def valuation(
     trees: int = 400,
     boosted: bool = True,
 ) -> Valuation:
-    """Fit per group, predict the test seasons, and measure all models in one job.
+    """Fit per group and predict the test seasons.
 
     The model input is written once: every fit reads those files instead of
     building the wide table again.
@@ -98,14 +104,14 @@ def valuation(
             reports.append(importances(model, features, 10, mega.sparkSession, **{group: value}))
         predicted.append(out.drop("features", "is_train"))
     predictions = union_all(predicted).withColumn("market", F.col(EXPECTED))
-    names = ["market", "ridge", *(["boosted"] if boosted else [])]
     return Valuation(
         predictions=predictions,
-        metrics=evaluate(predictions, TARGET, names, "season", dict(top_k), [group], group),
         residual_stats=spread_stats(ready.where("is_train"), RESIDUAL, [group]),
         coefficients=coefs,
         importances=union_all(reports) if reports else None,
         features=features,
+        top_k=top_k,
+        group=group,
         models=models,
     )
 
