@@ -17,7 +17,7 @@ from fieldtally.session import scratch_path, settle
 from fieldtally.sources import sinks
 
 # Boosted fits here use few trees so that a check of all queries stays short; the plan's own default is 400.
-TREES = 20
+TREES = 10
 PAIR = league.MARKET_COLUMNS
 NUMERIC = ("career_season", "prev_ppg", "prev_games_played", "prev_wopr", "prev_adot", "prev_efficiency",
            "prev_snap_pct", "prev_team_pass_rate", "prev_carry_share")

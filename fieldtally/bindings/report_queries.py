@@ -103,7 +103,7 @@ def _(spark, folder):
 
 
 def levels(spark, folder):
-    return feat.play_levels(t.raw_plays(spark, folder))
+    return feat.play_levels(t.raw_plays(spark, folder), detail=True)
 
 
 PASSER = "SELECT passer_player_id AS player_id, season, {} FROM plays WHERE pass_attempt = 1 AND passer_player_id IS NOT NULL GROUP BY ALL"

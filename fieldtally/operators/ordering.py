@@ -33,7 +33,9 @@ def running_total(
     to the shared folder once, so that numbering and offsets describe the
     same partitions whatever is recomputed later.
     """
-    by = list(by)
+    wanted, by = df.columns, list(by)
+    if not by:
+        df, by = df.withColumn("_all", F.lit(0)), ["_all"]
     size = F.col(amount) if amount else F.lit(1)
     slices = settle(df.repartitionByRange(*by, *order).withColumn(_SLICE, F.spark_partition_id()))
     per_slice = slices.groupBy(*by, _SLICE).agg(F.sum(size).alias("_size"))
@@ -54,11 +56,9 @@ def running_total(
         *df.columns, (F.col("_upto") - size + F.coalesce(_OFFSET, F.lit(0))).alias(out)
     )
     if total is None:
-        return result
+        return result.select(*wanted, out)
     sums = per_slice.groupBy(*by).agg(F.sum("_size").alias(total))
-    if not by:
-        return result.crossJoin(F.broadcast(sums))  # one row
-    return result.join(sums, by)
+    return result.join(sums, by).select(*wanted, out, total)
 
 
 def _counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

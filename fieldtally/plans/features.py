@@ -130,7 +130,7 @@ _LEVEL_COUNTS = {
 }
 
 
-def play_levels(plays: DataFrame) -> DataFrame:
+def play_levels(plays: DataFrame, detail: bool = False) -> DataFrame:
     """Plays counted per (season, kind, player, team), kind being passer, rusher or receiver.
 
     This is the only pass over the plays, the largest table: each play emits
@@ -138,7 +138,8 @@ def play_levels(plays: DataFrame) -> DataFrame:
     The result is written once because several groupings read it; left lazy,
     the optimizer would push each grouping's filter down and scan the plays
     again for every one. Rows without a player or team stay, as they count for
-    totals.
+    totals. ``detail`` adds depth, completions, yards after catch and
+    completion over expectation, whose columns are otherwise not read.
     """
     p = clean_plays(plays)
     who = plays.schema["rusher_player_id"].dataType
@@ -150,13 +151,11 @@ def play_levels(plays: DataFrame) -> DataFrame:
         role("receiver", TARGET, "receiver_player_id"),
     )
     measures = {name: _flag(cond) for name, cond in _LEVEL_COUNTS.items()}
-    for name, column in {"air": "air_yards", "yac": "yards_after_catch", "cpoe": "cpoe"}.items():
-        if column in p.columns:
-            measures[name] = F.col(column)
-    if "complete_pass" in p.columns:
-        measures["caught"] = to_number(F.col("complete_pass"))
+    if detail:
+        measures |= {"air": F.col("air_yards"), "yac": F.col("yards_after_catch"), "cpoe": F.col("cpoe"),
+                     "caught": to_number(F.col("complete_pass"))}
     totals = [F.sum(m).alias(m) for m in measures]
-    if "cpoe" in measures:
+    if detail:
         totals.append(F.count("cpoe").alias("cpoe_n"))
     entries = p.where(f"season is not null and ({PASS} or {RUSH} or {TARGET})").select(
         "season", F.col("posteam").alias("team"), F.explode(roles).alias("role"),
@@ -275,7 +274,7 @@ def pressure_to_sack_rate(plays: DataFrame, pressure: str = "was_pressure") -> D
 
 def play_detail(plays: DataFrame) -> DataFrame:
     """The wide per-player play table: passing, receiving, rushing and combined columns, from one pass."""
-    levels = play_levels(plays)
+    levels = play_levels(plays, detail=True)
     frames = [
         passing_detail(levels), receiving_detail(levels), rushing_detail(levels),
         opportunity_share(levels).drop("opportunities"),

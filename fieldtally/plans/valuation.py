@@ -82,14 +82,15 @@ def valuation(
 ) -> Valuation:
     """Fit per group and predict the test seasons.
 
-    The model input is written once: every fit reads those files instead of
-    building the wide table again.
+    The model input is written once, one folder per group: every fit reads its
+    own folder instead of building the wide table again.
     """
     features = list(features or residual_features(mega))
     columns = list(dict.fromkeys([*league.MARKET_COLUMNS, *features]))
     rows = settle(training_rows(mega, list(top_k), columns, train, test, group, ids))
     priced, coefs = baseline(scaled_rows(rows, columns, group), group=group)
-    ready = settle(assemble(priced, features).select(*ids, group, "season", TARGET, EXPECTED, RESIDUAL, "is_train", "features"))
+    kept = [*ids, group, "season", TARGET, EXPECTED, RESIDUAL, "is_train", "features"]
+    ready = settle(assemble(priced, features).select(*kept), "model-rows", group)
 
     models, predicted, reports = {}, [], []
     for value in top_k:

@@ -49,16 +49,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fieldtally-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+def settle(df: DataFrame, name: str = "settled", by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and continue from those files.
 
     Later reads see the same rows even when executors are lost, read only the
-    columns they need, and know the size of the table. The files stay until
-    the application's scratch folder is removed.
+    columns they need, and know the size of the table. ``by`` keeps each value
+    of a column with few values in its own folder, so that a filter on it
+    reads nothing else. The files stay until the application's scratch folder
+    is removed.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def drop_scratch(spark: SparkSession) -> bool:

@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.sources.sinks import write_partitioned
 
 
-def landed_periods(spark, path: str, period: str) -> DataFrame | None:
-    """Distinct periods of a landed dataset (partition folders only), or None before the first load."""
-    try:
-        return spark.read.parquet(path).select(period).distinct()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def landed_periods(spark: SparkSession, path: str, period: str) -> list[str]:
+    """Periods of a landed dataset, from its folder names alone: no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(folder)]
+    return sorted(name.split("=", 1)[1] for name in names if name.startswith(f"{period}="))
 
 
-def new_periods(source: DataFrame, landed: DataFrame | None, period: str) -> DataFrame:
-    """Source rows of periods that have not landed."""
-    if landed is None:
-        return source
-    # One row per period folder that was listed, so the table is tiny.
-    return source.join(F.broadcast(landed.select(F.col(period).cast(source.schema[period].dataType))), period, "left_anti")
+def new_periods(source: DataFrame, landed: list[str], period: str) -> DataFrame:
+    """Source rows of periods that have not landed. Rows without a period are left out.
+
+    A filter rather than a join, so that a source partitioned by period skips
+    the folders it has already delivered.
+    """
+    known = source.where(F.col(period).isNotNull())
+    if not landed:
+        return known
+    kind = source.schema[period].dataType
+    return known.where(~F.col(period).isin(*[F.lit(value).cast(kind) for value in landed]))
 
 
 def land_incremental(source: DataFrame, path: str, period: str = "season") -> None:

@@ -52,6 +52,12 @@ def test_rank_first_and_running_total(spark):
     assert (run["total"].to_numpy() == frame.groupby("g")["i"].transform("sum").to_numpy()).all()
 
 
+def test_total_without_groups(spark):
+    df = spark.createDataFrame([(3,), (1,), (2,)], "v int")
+    got = ordering.running_total(df, [], [F.col("v").asc()], "v", "before", "total")
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 6), (2, 1, 6), (3, 3, 6)]
+
+
 def test_hot_group_is_spread_over_slices(spark):
     df = spark.range(20000).select(F.lit(1).alias("g"), F.col("id").cast("double").alias("v"))
     slices = df.repartitionByRange("g", F.col("v").asc()).groupBy(F.spark_partition_id()).count()

@@ -7,11 +7,12 @@ from conftest import SMALL
 from fieldtally.bindings import composed, tables
 from fieldtally.contracts import PLAYS
 from fieldtally.operators import regression
+from fieldtally.operators.joins import match_entities
 from fieldtally.plans import league
 from fieldtally.plans.mega import position_columns, position_table
-from fieldtally.session import scratch_path, settle, shared_dir
+from fieldtally.session import drop_scratch, scratch_path, settle, shared_dir
 from fieldtally.sources import readers, sinks
-from fieldtally.streaming.incremental import land_incremental, reload_periods
+from fieldtally.streaming.incremental import land_incremental, landed_periods, new_periods, reload_periods
 
 
 def test_incremental_landing_is_idempotent(spark, tmp_path):
@@ -28,6 +29,18 @@ def test_incremental_landing_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(path).where("season = 1997").count() == plays.where("season = 1997").count()
 
 
+def test_landed_periods_come_from_folder_names(spark, tmp_path, plan):
+    path = str(tmp_path / "landed")
+    assert landed_periods(spark, path, "season") == []
+    land_incremental(spark.createDataFrame([(2019, 1), (2020, 2), (None, 3)], "season int, x int"), path)
+    assert landed_periods(spark, path, "season") == ["2019", "2020"]
+    source = str(tmp_path / "source")
+    spark.createDataFrame([(2019, 1), (2021, 2)], "season int, x int").write.partitionBy("season").parquet(source)
+    fresh = new_periods(spark.read.parquet(source), ["2019", "2020"], "season")
+    assert [tuple(r) for r in fresh.collect()] == [(2, 2021)]
+    assert "PartitionFilters: [isnotnull(season" in plan(fresh) and "Join" not in plan(fresh)
+
+
 def test_missing_columns_read_as_null(spark, tmp_path):
     path = str(tmp_path / "old")
     tables.raw_plays(spark, SMALL).select("season", "week", "air_yards").write.parquet(path)
@@ -110,3 +123,24 @@ def test_fallback_looks_at_raw_rows(spark):
     second = spark.createDataFrame([(2020, "QB"), (2021, "QB")], schema)
     got = {tuple(r) for r in readers.with_fallback(first, second, "season").collect()}
     assert got == {(2020, "PK"), (2021, "QB")}
+
+
+def test_feature_lists_and_scratch_cleanup(spark, tmp_path):
+    lists = sinks.feature_list({"market": ["a", "b"], "residual": ["c"]}, spark)
+    sinks.write_json(lists, str(tmp_path / "lists"))
+    assert spark.read.json(str(tmp_path / "lists")).count() == 3
+    settle(spark.range(2)).count()
+    assert drop_scratch(spark) and not drop_scratch(spark)
+
+
+def test_frequent_name_on_both_sides_matches_whole(spark):
+    feed = [(f"Smith, J{'.' * (i % 2)} Jr.", "WR", float(i)) for i in range(30)] + [(f"Other {i}", "WR", 0.0) for i in range(60)]
+    roster = [(i, "smith, j", "WR") for i in range(40)] + [(100 + i, f"OTHER {i}", "WR") for i in range(50)]
+    f = spark.createDataFrame(feed, "player_name string, position string, adp double")
+    r = spark.createDataFrame(roster, "player_id int, full_name string, position string")
+    matched, missing = match_entities(f, r, "player_name", ["position"])
+    assert matched.count() == 30 * 40 + 50 and missing.count() == 10
+    everyone, generated = match_entities(f, r, "player_name", ["position"], unmatched="generate")
+    frame = everyone.toPandas()
+    assert len(frame) == 30 * 40 + 60 and frame["is_generated"].sum() == generated.count() == 10
+    assert frame["player_id"].notna().all()
