@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from fieldtally.llm import decontaminate, mixing, quality, sharding  # noqa: F401
+from fieldtally.llm import decontaminate, mixing, neardup, quality, sharding  # noqa: F401
 from fieldtally.llm.common import ORACLES, QUERIES
