@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from fieldtally.llm import decontaminate, mixing, neardup, passages, quality, sharding, topk  # noqa: F401
+from fieldtally.llm import decontaminate, mixing, neardup, passages, quality, sharding, topk, wavelet  # noqa: F401
 from fieldtally.llm.common import ORACLES, QUERIES
