@@ -2,5 +2,16 @@
 
 from __future__ import annotations
 
-from fieldtally.llm import decontaminate, mixing, neardup, passages, quality, sharding, topk, wavelet  # noqa: F401
+from fieldtally.llm import (  # noqa: F401
+    decontaminate,
+    licenses,
+    mixing,
+    neardup,
+    passages,
+    quality,
+    sharding,
+    templates,
+    topk,
+    wavelet,
+)
 from fieldtally.llm.common import ORACLES, QUERIES
