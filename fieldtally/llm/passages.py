@@ -62,10 +62,11 @@ def _extent(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def _rows(shard: int, found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
     key, lo, hi = _extent(*(np.concatenate(x) for x in zip(*found))) if found else (np.empty(0, np.uint64), np.empty(0, int), np.empty(0, int))
-    return pd.DataFrame({"key": key.view(np.int64), "shard": np.full(len(key), shard), "lo": lo, "hi": hi})
+    return pd.DataFrame({"key": key.view(np.int64), "shard": np.full(len(key), shard), "lo": lo, "more": hi - lo})
 
 
-_ROWS = "key long, shard long, lo long, hi long"
+#: ``lo`` and ``lo + more`` are the smallest and largest id that hold the key in this shard; ``more`` is mostly 0, which packs well.
+_ROWS = "key long, shard int, lo long, more long"
 
 
 def locate(automaton: ahocorasick.Automaton, words: list[bytes]) -> np.ndarray:
@@ -77,14 +78,15 @@ def locate(automaton: ahocorasick.Automaton, words: list[bytes]) -> np.ndarray:
     return np.searchsorted(first, np.asarray(starts, int) + 1)
 
 
-def _recurring(rows: DataFrame) -> DataFrame:
+def _recurring(rows: DataFrame, later: bool = False) -> DataFrame:
     """Rows of the keys that two documents or more hold, with the smallest id as ``owner``.
 
-    A key has one row per shard at most.
+    A key has one row per shard at most. ``later`` leaves out the shards that
+    hold the key in its owner only.
     """
-    of = Window.partitionBy("key")
-    seen = rows.withColumn("owner", F.min("lo").over(of)).withColumn("last", F.max("hi").over(of))
-    return seen.where("owner < last").select("shard", "key", "owner")
+    of, high = Window.partitionBy("key"), F.col("lo") + F.col("more")
+    seen = rows.withColumn("owner", F.min("lo").over(of)).withColumn("last", F.max(high).over(of))
+    return seen.where(high > F.col("owner") if later else F.col("last") > F.col("owner")).select("shard", "key", "owner")
 
 
 def repeated_passages(
@@ -103,7 +105,7 @@ def repeated_passages(
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(2 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(total / shard_bytes))
     dealt = base.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"),
+        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"),
         F.col("doc_id").isNotNull().alias("named"), "text",
     )
 
@@ -177,7 +179,7 @@ def repeated_passages(
 
     phrases = _recurring(dealt.groupBy("shard").applyInPandas(choose, _ROWS))
     windows = dealt.groupBy("shard").cogroup(phrases.groupBy("shard")).applyInPandas(spread, _ROWS)
-    final = dealt.groupBy("shard").cogroup(_recurring(windows).groupBy("shard")).applyInPandas(
+    final = dealt.groupBy("shard").cogroup(_recurring(windows, later=True).groupBy("shard")).applyInPandas(
         remove, "doc_id long, named boolean, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept string"
     )
     return final.select(F.when(F.col("named"), F.col("doc_id")).alias("doc_id"), "n_words", "n_removed", "spans", "kept")
