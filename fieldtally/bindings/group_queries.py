@@ -140,18 +140,15 @@ def _(spark, folder):
     return agg.null_rates(t.weekly(spark, folder))
 
 
-WIDE_NULLS = " UNION ALL ".join(f"""
-    SELECT position, '{x}' AS column_name, round_even((count(*) - count({x})) * 100.0::DOUBLE / count(*), 1) AS null_pct
-    FROM mega GROUP BY position""" for x in (
-    "finish", "ppg", "prev_ppg", "ppg_delta", "pts_delta", "wopr", "adot", "efficiency", "snap_pct", "rz_targets",
-    "carry_share", "prev_wopr", "prev_snap_pct", "prev_team_pass_rate"))
+WIDE_NULLS = r"""
+    UNPIVOT (SELECT position, round_even((count(*) - count(COLUMNS(* EXCLUDE (position)))) * 100.0::DOUBLE / count(*), 1) AS "\0"
+             FROM mega GROUP BY position)
+    ON COLUMNS(* EXCLUDE (position)) INTO NAME column_name VALUE null_pct"""
 
 
 @query("a13b_null_rates_wide_table", with_views(f"SELECT * FROM ({WIDE_NULLS}) WHERE null_pct > 0", "mega"))
 def _(spark, folder):
-    cols = ["finish", "ppg", "prev_ppg", "ppg_delta", "pts_delta", "wopr", "adot", "efficiency", "snap_pct", "rz_targets",
-            "carry_share", "prev_wopr", "prev_snap_pct", "prev_team_pass_rate"]
-    return agg.null_rates(c.mega(spark, folder).select("position", *cols), ["position"])
+    return agg.null_rates(c.mega(spark, folder), ["position"])
 
 
 @query("a14_pearson", with_views("""

@@ -16,8 +16,6 @@ from fieldtally.plans import valuation as val
 from fieldtally.session import scratch_path, settle
 from fieldtally.sources import sinks
 
-# Boosted fits here use few trees so that a check of all queries stays short; the plan's own default is 400.
-TREES = 10
 PAIR = league.MARKET_COLUMNS
 NUMERIC = ("career_season", "prev_ppg", "prev_games_played", "prev_wopr", "prev_adot", "prev_efficiency",
            "prev_snap_pct", "prev_team_pass_rate", "prev_carry_share")
@@ -68,8 +66,15 @@ def guesses(spark, folder):
         "player_id", "position", "season", F.col("ppg").alias("y"), F.col("prev_ppg").alias("p"))
 
 
+FITTED = {}
+
+
 def valued(spark, folder, boosted):
-    return val.valuation(c.mega(spark, folder), t.SEGMENT_K, t.TRAIN, t.TEST, trees=TREES, boosted=boosted)
+    """The whole valuation, fitted once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder, boosted)
+    if key not in FITTED:
+        FITTED[key] = val.valuation(c.mega(spark, folder), t.SEGMENT_K, t.TRAIN, t.TEST, boosted=boosted)
+    return FITTED[key]
 
 
 def per_period(spark, folder, *cols):
@@ -165,12 +170,21 @@ def _(spark, folder):
     return valued(spark, folder, True).predictions.select("player_id", "season", "position", "ppg", "boosted")
 
 
+# Ridge on the two market columns over all positions at once; both have mean 0 among the training rows.
+POOLED = """SELECT intercept, (ay * bb - ab * cy) / (aa * bb - ab * ab) AS c1, (cy * aa - ab * ay) / (aa * bb - ab * ab) AS c2
+            FROM (SELECT avg({y}) AS intercept, sum(z1 * z1) + 1 AS aa, sum(z2 * z2) + 1 AS bb, sum(z1 * z2) AS ab,
+                         sum(z1 * {y}) AS ay, sum(z2 * {y}) AS cy FROM {rows} WHERE is_train)"""
+LEFT = """SELECT z.*, expected, z.ppg - expected AS residual FROM z JOIN priced USING (player_id, season, position)"""
+
+
 @query("m8_final_prediction", with_views("""
-    SELECT player_id, season, round((expected + (ppg - expected)) / 1e6, 3) AS final FROM priced WHERE NOT is_train""",
-    "mega", **STEPS))
+    SELECT player_id, season, round((expected + intercept + c1 * z1 + c2 * z2) / 1e6, 3) + 0 AS final
+    FROM left_over, pooled WHERE NOT is_train""", "mega", **STEPS, left_over=LEFT, pooled=POOLED.format(y="residual", rows="left_over")))
 def _(spark, folder):
-    test = priced(spark, folder)[0].where("not is_train")
-    return test.select("player_id", "season", F.round((F.col("expected_ppg") + F.col("residual")) / 1e6, 3).alias("final"))
+    ready = settle(regression.assemble(priced(spark, folder)[0], PAIR))
+    model = regression.fit_ridge(ready.where("is_train"), val.RESIDUAL, 1.0)
+    final = regression.add_fit(ready.where("not is_train"), model, val.EXPECTED, "final")
+    return final.select("player_id", "season", (F.round(F.col("final") / 1e6, 3) + 0).alias("final"))
 
 
 @query("m9_pooled_accuracy", with_views(
@@ -237,7 +251,7 @@ def _(spark, folder):
 @query("t5_top_features")
 def _(spark, folder):
     train = val.scaled_rows(rows(spark, folder, [*PAIR, *NUMERIC], True), [*PAIR, *NUMERIC]).where("is_train")
-    model = regression.fit_boosted(regression.assemble(train, NUMERIC), "ppg", TREES)
+    model = regression.fit_boosted(settle(regression.assemble(train, NUMERIC)), "ppg")
     return regression.importances(model, NUMERIC, 10, spark)
 
 
@@ -250,13 +264,16 @@ def _(spark, folder):
     return spark.read.schema("position string, mae double").json(path)
 
 
-@query("s19_model_sink")
+@query("s19_model_sink", with_views("""
+    SELECT player_id, season, ppg, round((intercept + c1 * z1 + c2 * z2) / 1e6, 4) + 0 AS fit FROM z, pooled WHERE NOT is_train""",
+    "mega", **STEPS, pooled=POOLED.format(y="ppg", rows="z")))
 def _(spark, folder):
     ready = regression.assemble(val.scaled_rows(rows(spark, folder), PAIR), PAIR)
     model = regression.fit_ridge(ready.where("is_train"), "ppg", 1.0)
     saved = sinks.write_models({"market_ridge": model}, scratch_path(spark, "models"))
     again = LinearRegressionModel.load(saved["market_ridge"])
-    return again.transform(ready.where("not is_train")).select("player_id", "season", "ppg", F.col("_fit").alias("fit"))
+    return again.transform(ready.where("not is_train")).select(
+        "player_id", "season", "ppg", (F.round(F.col("_fit") / 1e6, 4) + 0).alias("fit"))
 
 
 @query("q10_valuation_model")

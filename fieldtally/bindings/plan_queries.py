@@ -171,10 +171,9 @@ def _(spark, folder):
     return long.where("value is not null").select("player_id", "feature", "value")
 
 
-@query("q11c_null_rates", with_views(f"SELECT * FROM ({WIDE_NULLS}) WHERE null_pct > 0 AND column_name LIKE '%prev%'", "mega"))
+@query("q11c_null_rates", with_views(f"SELECT * FROM ({WIDE_NULLS}) WHERE null_pct > 0", "mega"))
 def _(spark, folder):
-    wide = c.mega(spark, folder).select("position", "prev_ppg", "prev_wopr", "prev_snap_pct", "prev_team_pass_rate")
-    return null_rates(wide, ["position"])
+    return null_rates(c.mega(spark, folder), ["position"])
 
 
 @query("q11d_market_vs_finish", with_views("""

@@ -419,5 +419,6 @@ def with_views(select: str, *views: str, **extra: str) -> str:
 
     for view in views:
         visit(view)
-    parts = [f"{name} AS ({VIEWS[name][1]})" for name in ordered] + [f"{n} AS ({b})" for n, b in extra.items()]
+    # Several views are read more than once; without the keyword each reader would expand them again.
+    parts = [f"{name} AS MATERIALIZED ({VIEWS[name][1]})" for name in ordered] + [f"{n} AS ({b})" for n, b in extra.items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + select

@@ -99,8 +99,10 @@ def ordinal(df: DataFrame, entity: str, period: str, out: str) -> DataFrame:
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "last") -> DataFrame:
     """One row per key, the first or last in ``order``.
 
-    An aggregate rather than a window: it combines before the shuffle and
-    never sorts a key's rows. ``order`` must be non-NULL and unique per key.
+    An aggregate rather than a window: it combines before the shuffle, so at
+    most one row per key and task is moved. Rows as aggregates cannot be
+    hashed in place, so Spark sorts by key on both sides of the shuffle.
+    ``order`` must be non-NULL and unique per key.
     """
     pick = F.max_by if keep == "last" else F.min_by
     rest = [c for c in df.columns if c not in keys]
@@ -131,6 +133,10 @@ def rank_cutoff(
     whose own limit is below ``k``.
     """
     limit = F.lit(k) if cap is None else cap
+    if k >= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        # Beyond this the optimizer drops the group limit, and a window would take each whole group into one task.
+        counted = running_total(_counted(df, by, value), by, [F.col(value).desc()], _N)
+        return counted.where(F.col(_BEFORE) < F.least(limit, F.lit(k))).groupBy(*by).agg(F.min(value).alias(out))
     largest = Window.partitionBy(*by).orderBy(F.col(value).desc())
     top = _counted(df, by, value).withColumn("_row", F.row_number().over(largest)).where(F.col("_row") <= k)
     upto = F.sum(_N).over(largest.rowsBetween(Window.unboundedPreceding, Window.currentRow))

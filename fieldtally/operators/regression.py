@@ -26,7 +26,7 @@ def time_split(df: DataFrame, period: str, train: Sequence[int], test: Sequence[
 
 def _attach(df: DataFrame, params: DataFrame, by: Sequence[str]) -> DataFrame:
     """Put the group's parameters next to each row; without groups there is a single parameter row."""
-    return df.join(params, list(by), "left") if by else df.join(params, F.lit(True), "left")
+    return df.join(params, list(by), "left") if by else df.join(F.broadcast(params), F.lit(True), "left")
 
 
 def median_table(train: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -103,6 +103,8 @@ def fit_ridge(train: DataFrame, y: str, alpha: float, features: str = "features"
     conversion.
     """
     n, spread = train.agg(F.count(F.lit(1)), F.stddev_pop(y)).first()
+    if not n:
+        raise ValueError("no rows to fit on")
     penalty = alpha * (spread or 0.0) / n
     return LinearRegression(
         featuresCol=features, labelCol=y, solver="normal", elasticNetParam=0.0,
@@ -114,7 +116,12 @@ def fit_boosted(
     train: DataFrame, y: str, trees: int = 400, rate: float = 0.05, depth: int = 4,
     row_share: float = 0.8, column_share: float = 0.8, seed: int = 42, features: str = "features",
 ):
-    """Gradient-boosted regression trees."""
+    """Gradient-boosted regression trees.
+
+    A few hundred trees are some thousand short jobs, so few rows are put into
+    few partitions: about 200,000 rows each.
+    """
+    train = train.coalesce(max(1, train.count() // 200_000))
     return GBTRegressor(
         featuresCol=features, labelCol=y, maxIter=trees, stepSize=rate, maxDepth=depth,
         subsamplingRate=row_share, featureSubsetStrategy=str(column_share), seed=seed, predictionCol="_fit",

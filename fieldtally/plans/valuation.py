@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,14 +93,26 @@ def valuation(
     kept = [*ids, group, "season", TARGET, EXPECTED, RESIDUAL, "is_train", "features"]
     ready = settle(assemble(priced, features).select(*kept), "model-rows", group)
 
+    known = {r[0] for r in ready.where("is_train").select(group).distinct().collect()}
+    # A group without training rows has nothing to predict from: it is left out of the result.
+    groups = [value for value in top_k if value in known]
+    if not groups:
+        raise ValueError("no group has training rows")
+    parts = {value: ready.where(F.col(group) == value) for value in groups}
+
+    def fit(value: str) -> tuple:
+        rows = parts[value].where("is_train")
+        return fit_ridge(rows, RESIDUAL, ridge_alpha), fit_boosted(rows, RESIDUAL, trees) if boosted else None
+
+    # The groups' fits are independent chains of short jobs; a few at a time keep the executors busy.
+    with ThreadPool(min(8, len(groups))) as pool:
+        fitted = dict(zip(groups, pool.map(fit, groups)))
     models, predicted, reports = {}, [], []
-    for value in top_k:
-        part = ready.where(F.col(group) == value)
-        fit_on, score = part.where("is_train"), part.where("not is_train")
-        models[f"{value}_ridge"] = fit_ridge(fit_on, RESIDUAL, ridge_alpha)
+    for value in groups:
+        score = parts[value].where("not is_train")
+        models[f"{value}_ridge"], model = fitted[value]
         out = add_fit(score, models[f"{value}_ridge"], EXPECTED, "ridge")
         if boosted:
-            model = fit_boosted(fit_on, RESIDUAL, trees)
             models[f"{value}_boosted"] = model
             out = add_fit(out, model, EXPECTED, "boosted")
             reports.append(importances(model, features, 10, mega.sparkSession, **{group: value}))

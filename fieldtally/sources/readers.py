@@ -72,7 +72,7 @@ def extract_script_json(
 
 def extract_script_text(df: DataFrame, html: str, variable: str, out: str) -> DataFrame:
     """The plain value (text or number) assigned to a script variable inside a page; NULL when there is none."""
-    literal = F.regexp_extract(F.col(html), rf'var\s+{variable}\s*=\s*("(?:[^"\\]|\\.)*"|[^;<\s]+)', 1)
+    literal = F.regexp_extract(F.col(html), rf'var\s+{variable}\s*=\s*("[^"\\]*+(?:\\.[^"\\]*+)*+"|[^;<\s]+)', 1)
     return df.withColumn(out, F.get_json_object(F.concat(F.lit('{"v":'), literal, F.lit("}")), "$.v"))
 
 
