@@ -53,7 +53,8 @@ def drop_template_lines(
     columns play no part.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    masked = base.select("doc_id", F.explode(_split(F.col("text"))).alias("line")).select("doc_id", _masked(F.col("line")).alias("masked"))
+    # As the generator's output, a line's tokens are worked out once, whatever is read of them later.
+    masked = base.select("doc_id", F.explode(F.transform(_split(F.col("text")), _masked)).alias("masked"))
     lines = settle(
         masked.where(F.size("masked") >= DEPTH).select("doc_id", _leaf(F.col("masked")).alias("leaf"), _key(F.col("masked")).alias("line")).distinct(),
         "lines",

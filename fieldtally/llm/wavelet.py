@@ -140,27 +140,45 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.lists: list[list[int] | None] = []
+        self.tokenizer = Tokenizer.from_file(path)
+        self._forget()
+
+    def _forget(self) -> None:
+        # A piece's number, and where its ids stand in ``flat``; pieces that cannot stand alone have a negative length.
+        self.known: dict[str, int] = {}
+        self.flat, self.first, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) > KNOWN_PIECES:
-            self.known, self.lists = {}, []
+            self._forget()
         fresh = list(pieces - self.known.keys())
-        sound = [bool(p) and not p[0].isspace() and not p[-1].isspace() for p in fresh]
-        coded = iter(self.tokenizer.encode_batch_fast([" " + p for p, s in zip(fresh, sound) if s], add_special_tokens=False))
-        for piece, s in zip(fresh, sound):
-            self.known[piece] = len(self.lists)
-            self.lists.append(np.array(next(coded).ids, np.uint32) if s else None)
+        sound = np.array([bool(p) and not p[0].isspace() and not p[-1].isspace() for p in fresh], bool)
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast([" " + p for p, s in zip(fresh, sound) if s], add_special_tokens=False)]
+        length = np.full(len(fresh), -1, np.int64)
+        length[sound] = [len(c) for c in coded]
+        ends = len(self.flat) + np.cumsum(np.maximum(length, 0))
+        self.known.update(zip(fresh, range(len(self.first), len(self.first) + len(fresh))))
+        self.first, self.length = np.r_[self.first, ends - np.maximum(length, 0)], np.r_[self.length, length]
+        self.flat = np.concatenate([self.flat, *([np.array([i for c in coded for i in c], np.uint32)] if coded else [])])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.split(" ") for t in texts]
         # The first piece has no space before it; it is encoded with the whole texts.
-        self._learn({p for pieces in split for p in pieces[1:]})
-        bodies = [[self.lists[self.known[p]] for p in pieces[1:]] for pieces in split]
-        odd = [any(x is None for x in body) or t[:1].isspace() or pieces[0] == "" or pieces[0][-1:].isspace() for t, body, pieces in zip(texts, bodies, split)]
-        heads = self.tokenizer.encode_batch_fast([t if o else pieces[0] for t, o, pieces in zip(texts, odd, split)], add_special_tokens=False)
-        return [np.array(h.ids, np.uint32) if o else np.concatenate([np.array(h.ids, np.uint32), *body]) for h, o, body in zip(heads, odd, bodies)]
+        bodies = [pieces[1:] for pieces in split]
+        self._learn(set().union(*bodies))
+        out = []
+        codes = [np.fromiter(map(self.known.__getitem__, body), np.int64, len(body)) for body in bodies]
+        odd = [bool((self.length[c] < 0).any()) or p[0] == "" or p[0][0].isspace() or p[0][-1].isspace() for c, p in zip(codes, split)]
+        heads = self.tokenizer.encode_batch_fast([t if o else p[0] for t, o, p in zip(texts, odd, split)], add_special_tokens=False)
+        for head, code, o in zip(heads, codes, odd):
+            ids = np.array(head.ids, np.uint32)
+            if not o:
+                length = self.length[code]
+                ends = np.cumsum(length)
+                places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[code] - ends + length, length)
+                ids = np.concatenate([ids, self.flat[places]])
+            out.append(ids)
+        return out
 
 
 def encoded_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", shard_ids: int = SHARD_IDS) -> DataFrame:
