@@ -25,8 +25,10 @@ from fieldtally.session import settle
 BLOCK, QUERIES = 4096, 256
 #: A segment holds components within this much of each other.
 STEP = 8
-#: Vectors that may be left when a block is rescored, per wanted result.
-RESCORE = 8
+#: A block is rescored when no more vectors are left than this per wanted result, or than this part of the block.
+RESCORE, RESCORE_SHARE = 8, 16
+#: Shares of the postings after which the bounds are looked at.
+ROUNDS = (0.15, 0.3, 0.45, 0.6, 0.8, 1.0)
 
 
 def quantised(vector: Column) -> Column:
@@ -40,50 +42,55 @@ class ImpactIndex:
     """Impact-ordered postings of the rows of ``x`` (vectors by dimensions, whole numbers)."""
 
     def __init__(self, x: np.ndarray):
+        n, dims = x.shape
         self.x = x
         impact = np.abs(x) // STEP
-        self.order = np.argsort(-impact, axis=0, kind="stable").astype(np.int32)
-        ranked = np.take_along_axis(impact, self.order, 0)
-        self.segments = []  # (dimension, from, to, largest absolute component), descending in each dimension
-        for d in range(x.shape[1]):
-            cut = np.r_[0, np.flatnonzero(np.diff(ranked[:, d])) + 1, len(x)] if len(x) else np.array([0])
-            self.segments += [(d, a, b, int(ranked[a, d]) * STEP + STEP - 1) for a, b in zip(cut[:-1], cut[1:])]
-        self.dims = np.array([s[0] for s in self.segments], int)
-        self.most = np.array([s[3] for s in self.segments], np.int64)
-        self.reach = np.abs(x).max(0)
+        order = np.argsort(-impact, axis=0, kind="stable")
+        ranked = np.take_along_axis(impact, order, 0)
+        # One list per dimension: the vectors in it, their components, and each vector's place in it.
+        self.rows, self.parts = np.ascontiguousarray(order.T), np.ascontiguousarray(np.take_along_axis(x, order, 0).T.astype(float))
+        self.place = np.empty((n, dims), np.int32)
+        np.put_along_axis(self.place, order, np.arange(n, dtype=np.int32)[:, None], 0)
+        # Segments of equal impact, in each dimension in descending order.
+        dim, end, most = [], [], []
+        for d in range(dims):
+            cut = np.r_[np.flatnonzero(np.diff(ranked[:, d])) + 1, n]
+            dim.append(np.full(len(cut), d))
+            end.append(cut)
+            most.append(ranked[cut - 1, d] * STEP + STEP - 1)
+        self.dim, self.end, self.most = np.concatenate(dim), np.concatenate(end), np.concatenate(most).astype(float)
+        self.count = np.bincount(self.dim, minlength=dims)
+        self.first = np.cumsum(self.count) - self.count
+        self.length = np.diff(self.end, prepend=0)
+        self.length[self.first] = self.end[self.first]
 
     def top(self, q: np.ndarray, k: int, ids: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the k best vectors for ``q`` other than ``own``: higher scores first, then smaller ids."""
-        n = len(self.x)
-        weight = np.abs(q)[self.dims] * self.most
-        turns = np.argsort(-weight, kind="stable")
-        score, reach = np.zeros(n, np.int64), np.abs(q) * self.reach
-        limit, done = k * RESCORE, 0
+        n, dims = self.x.shape
+        force = np.abs(q).astype(float)
+        turns = np.argsort(-force[self.dim] * self.most, kind="stable")
+        postings = np.cumsum(self.length[turns])
+        score, upto, done = np.zeros(n), np.zeros(dims, np.int64), 0
         possible = ids != own
-        # The unread part of a vector adds at most what its unread dimensions can still reach.
-        ends = np.unique(np.linspace(0, len(turns), 9).astype(int))[1:]
-        read = np.zeros((n, len(q)), bool)
-        left = {d: [s for s in np.flatnonzero(self.dims == d)] for d in range(len(q))}
-        at = dict.fromkeys(left, 0)
-        for end in ends:
-            touched = set()
-            for s in turns[done:end]:
-                d, a, b, _ = self.segments[s]
-                rows = self.order[a:b, d]
-                score[rows] += q[d] * self.x[rows, d]
-                read[rows, d] = True
-                at[d] += 1
-                touched.add(d)
-            done = end
-            for d in touched:
-                reach[d] = abs(q[d]) * self.most[left[d][at[d]]] if at[d] < len(left[d]) else 0
-            unread = (~read) @ reach
-            low = np.where(possible, score - unread, np.iinfo(np.int64).min)
-            if k > n:
+        # Sums of doubles may be off by this much; the bounds leave room for it.
+        slack = 1e-12 * float(force @ self.most[self.first])
+        for end in np.unique(np.searchsorted(postings, postings[-1] * np.array(ROUNDS)) + 1):
+            fresh = turns[done:end]
+            done, was = end, upto.copy()
+            np.maximum.at(upto, self.dim[fresh], self.end[fresh])
+            grown = np.flatnonzero(upto > was)
+            rows = np.concatenate([self.rows[d, was[d] : upto[d]] for d in grown])
+            score += np.bincount(rows, np.concatenate([self.parts[d, was[d] : upto[d]] * q[d] for d in grown]), n)
+            if k > possible.sum():
                 break
-            kth = np.partition(low, len(low) - k)[len(low) - k]
-            possible &= score + unread >= kth
-            if possible.sum() <= limit:
+            # What is unread of a vector adds at most what the next segments of its unread dimensions can.
+            read = np.bincount(self.dim[turns[:end]], minlength=dims)
+            following = self.most[np.minimum(self.first + read, len(self.most) - 1)]
+            reach = np.where(read < self.count, force * following, 0.0)
+            unread = (self.place >= upto).astype(np.float32) @ reach.astype(np.float32) * (1 + 1e-5) + slack if reach.any() else slack
+            low = np.where(possible, score - unread, -np.inf)
+            possible &= score + unread >= np.partition(low, n - k)[n - k]
+            if possible.sum() <= max(k * RESCORE, n // RESCORE_SHARE):
                 break
         rows = np.flatnonzero(possible)
         exact = self.x[rows] @ q
