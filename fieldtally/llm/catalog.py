@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fieldtally.llm import (  # noqa: F401
+    bpecount,
     decontaminate,
     licenses,
     mixing,
@@ -10,6 +11,7 @@ from fieldtally.llm import (  # noqa: F401
     passages,
     quality,
     sharding,
+    spelling,
     templates,
     topk,
     wavelet,
