@@ -5,6 +5,7 @@ from __future__ import annotations
 from fieldtally.llm import (  # noqa: F401
     bpecount,
     decontaminate,
+    lexical,
     licenses,
     mixing,
     neardup,
