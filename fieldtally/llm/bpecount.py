@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from fieldtally.llm.common import query, table
 from fieldtally.llm.wordhash import sliced
 
-#: Counts of pieces and of chunks are kept up to about so many bytes of text a worker, then forgotten.
-KNOWN_BYTES = 24_000_000
+#: Counts of pieces and of chunks are kept up to about so many bytes of memory a worker, then forgotten.
+KNOWN_BYTES = 120_000_000
+#: Bytes that an entry takes beside its text.
+_ENTRY = 140
 TOKEN_LIMIT = 2048
 
 
@@ -49,12 +52,14 @@ class MergeCounter:
             raise ValueError("the splitting rule keeps white space")
         self.suffix = model.get("end_of_word_suffix") or ""
         self.ids: dict[str, int] = model["vocab"]
-        # The pair of two symbols, as one number, to its rank and the symbol that replaces it.
+        # The pair of two symbols, as one number, to its rank; and by rank the symbol that replaces it.
         self.width = max(self.ids.values()) + 1
-        self.rank: dict[int, tuple[int, int]] = {}
+        self.rank: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank.setdefault(self.ids[left] * self.width + self.ids[right], (rank, self.ids[left + right]))
+            self.rank.setdefault(self.ids[left] * self.width + self.ids[right], rank)
+            self.made.append(self.ids[left + right])
         added = spec["added_tokens"]
         if any(a["normalized"] or a["single_word"] or a["lstrip"] or a["rstrip"] for a in added):
             raise ValueError("only added tokens that stand for exactly their own string are counted")
@@ -77,63 +82,78 @@ class MergeCounter:
         """Number of tokens of one piece of the splitting rule."""
         ids = self.symbols(piece)
         n = len(ids)
-        rank, width = self.rank, self.width
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            found = rank.get(ids[i] * width + ids[i + 1])
-            if found:
-                heap.append((found[0], i, found[1]))
+        rank, width, made = self.rank, self.width, self.made
+        # An entry is rank and place of the left link in one number, so the heap orders by rank, then by place.
+        heap = [rank[pair] * n + i for i, pair in enumerate([a * width + b for a, b in zip(ids, ids[1:])]) if pair in rank]
+        if not heap:
+            return n
         heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         merges = 0
         while heap:
-            order, i, new = heappop(heap)
-            j = after[i] if ids[i] >= 0 else n
-            if j >= n or rank.get(ids[i] * width + ids[j], (-1,))[0] != order:
+            order, i = divmod(heappop(heap), n)
+            j = after[i]
+            if j == n or ids[i] < 0 or rank.get(ids[i] * width + ids[j]) != order:
                 continue
             # Link j goes, link i stands for both.
             merges += 1
-            ids[i], ids[j] = new, -1
+            new = ids[i] = made[order]
+            ids[j] = -1
             k = after[i] = after[j]
             h = before[i]
             if k < n:
                 before[k] = i
                 found = rank.get(new * width + ids[k])
-                if found:
-                    heappush(heap, (found[0], i, found[1]))
+                if found is not None:
+                    heappush(heap, found * n + i)
             if h >= 0:
                 found = rank.get(ids[h] * width + new)
-                if found:
-                    heappush(heap, (found[0], h, found[1]))
+                if found is not None:
+                    heappush(heap, found * n + h)
         return n - merges
 
-    def _plain(self, text: str) -> int:
-        total = 0
-        for piece, _ in self.split(self.normalize(text)):
-            known = self.pieces.get(piece)
-            if known is None:
-                known = self.pieces[piece] = self.merged(piece)
-                self.held += len(piece) + 100
-            total += known
-        return total
-
-    def _chunk(self, chunk: bytes) -> int:
-        text = chunk.decode("utf-8", "replace")
-        if self.special is None or not any(m in chunk for m in self.marks):
-            return self._plain(text)
-        parts = self.special.split(text)
-        return len(parts) - 1 + sum(self._plain(p) for p in parts if p)
+    def _piece(self, piece: str) -> int:
+        known = self.pieces.get(piece)
+        if known is None:
+            known = self.pieces[piece] = self.merged(piece)
+            self.held += len(piece) + _ENTRY
+        return known
+
+    def _alone(self, text: str) -> int:
+        """Tokens of a chunk that may hold special tokens or rare kinds of white space."""
+        parts = self.special.split(text) if self.special else [text]
+        return len(parts) - 1 + sum(self._piece(p) for part in parts if part for p, _ in self.split(self.normalize(part)))
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        """Count chunks that are not known yet, most of them in one call of normalizer and splitting rule."""
+        plain = []
+        for chunk in chunks:
+            text = chunk.decode("utf-8", "replace")
+            if text.split() == [text] and not any(m in chunk for m in self.marks):
+                plain.append((chunk, text))
+            else:
+                self.chunks[chunk] = self._alone(text)
+            self.held += len(chunk) + _ENTRY
+        if not plain:
+            return
+        whole = self.normalize(" ".join([text for _, text in plain]))
+        ends = np.cumsum([len(t) + 1 for t in whole.split(" ")])
+        pieces = self.split(whole)
+        counts = np.array([self._piece(p) for p, _ in pieces], np.int64)
+        owner = np.searchsorted(ends, [at for _, (at, _) in pieces], "right")
+        totals = np.bincount(owner, counts, len(plain)).astype(np.int64)
+        self.chunks.update(zip([chunk for chunk, _ in plain], totals.tolist()))
 
     def count(self, text: bytes) -> int:
         """Number of tokens of a whole text in UTF-8."""
         chunks = text.split()
-        for chunk in set(chunks).difference(self.chunks):
-            self.chunks[chunk] = self._chunk(chunk)
-            self.held += len(chunk) + 100
-        total = sum(map(self.chunks.__getitem__, chunks))
-        if self.held > KNOWN_BYTES:
-            self._forget()
-        return total
+        fresh = list(set(chunks).difference(self.chunks))
+        if fresh:
+            if self.held > KNOWN_BYTES:
+                self._forget()
+                fresh = list(set(chunks))
+            self._learn(fresh)
+        return sum(map(self.chunks.__getitem__, chunks))
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = TOKEN_LIMIT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

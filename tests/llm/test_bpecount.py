@@ -44,7 +44,7 @@ def test_merges_equal_plain_merging():
         piece = "".join(rng.choice("thenaoir") for _ in range(rng.randrange(1, 30)))
         ids = counter.symbols(piece)
         while True:
-            found = min(((*counter.rank[k], i) for i in range(len(ids) - 1) if (k := ids[i] * counter.width + ids[i + 1]) in counter.rank), key=lambda f: (f[0], f[2]), default=None)
+            found = min(((counter.rank[k], counter.made[counter.rank[k]], i) for i in range(len(ids) - 1) if (k := ids[i] * counter.width + ids[i + 1]) in counter.rank), key=lambda f: (f[0], f[2]), default=None)
             if not found:
                 break
             ids[found[2] : found[2] + 2] = [found[1]]
