@@ -95,9 +95,8 @@ def prefix_places(word: str, frequency: dict[str, int]) -> list[tuple[int, int]]
 def unchanged(word: str) -> set[str]:
     """What one edit may leave: words one edit apart share one of these, whichever of them is shorter."""
     size, out = len(word), set()
-    for shorter in (size, size - 1):
-        half = shorter // 2
-        quarter = (shorter - half) // 2
+    for half in {size // 2, (size - 1) // 2}:
+        quarter = half // 2
         out |= {f"{word[: half + quarter]}<", f"{word[:half]}<{word[size - quarter :]}",
                 f">{word[size - half - quarter :]}", f"{word[:quarter]}>{word[size - half :]}"}
     return out
