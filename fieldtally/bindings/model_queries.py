@@ -15,6 +15,7 @@ from fieldtally.plans import league
 from fieldtally.plans import valuation as val
 from fieldtally.session import scratch_path, settle
 from fieldtally.sources import sinks
+from fieldtally.sources.models import ModelStore
 
 PAIR = league.MARKET_COLUMNS
 NUMERIC = ("career_season", "prev_ppg", "prev_games_played", "prev_wopr", "prev_adot", "prev_efficiency",
@@ -38,19 +39,89 @@ STEPS = {"rows": ROWS, "z": Z, "coefs": COEFS, "priced": PRICED}
 GUESSES = """SELECT position, season, ppg AS y, prev_ppg AS p, CASE position WHEN 'AUTOMOBILE' THEN 8 WHEN 'MACHINERY' THEN 8
                     WHEN 'HOUSEHOLD' THEN 10 ELSE 12 END AS k
              FROM mega WHERE ppg IS NOT NULL AND prev_ppg IS NOT NULL"""
-RANKED = """SELECT *, rank() OVER (PARTITION BY position, season ORDER BY y DESC) <= k AS actual,
-                   rank() OVER (PARTITION BY position, season ORDER BY p DESC) <= k AS predicted,
-                   count(*) OVER (PARTITION BY position, season) AS n FROM guesses"""
-TOP = """SELECT position, season, rank() OVER (PARTITION BY position, season ORDER BY y)
-                + (count(*) OVER (PARTITION BY position, season, y) - 1) / 2 AS ry,
-                rank() OVER (PARTITION BY position, season ORDER BY p)
-                + (count(*) OVER (PARTITION BY position, season, p) - 1) / 2 AS rp
-         FROM ranked WHERE actual"""
-PER = """SELECT position, season, count(*) FILTER (actual AND predicted) / any_value(k) AS precision_at_k,
-                avg(abs(y - p)) FILTER (actual) AS mae_at_k, any_value(rho) AS spearman_at_k
-         FROM ranked LEFT JOIN (SELECT position, season, corr(ry, rp) AS rho FROM top GROUP BY ALL) USING (position, season)
-         WHERE n >= k GROUP BY position, season"""
-METRICS = {"guesses": GUESSES, "ranked": RANKED, "top": TOP, "per": PER}
+
+
+def metric_steps(group):
+    """The views from guesses (group.., season, y, p, k) to the metrics per group and season."""
+    ranked = f"""SELECT *, rank() OVER (PARTITION BY {group}, season ORDER BY y DESC) <= k AS actual,
+                        rank() OVER (PARTITION BY {group}, season ORDER BY p DESC) <= k AS predicted,
+                        count(*) OVER (PARTITION BY {group}, season) AS n FROM guesses"""
+    top = f"""SELECT {group}, season, rank() OVER (PARTITION BY {group}, season ORDER BY y)
+                     + (count(*) OVER (PARTITION BY {group}, season, y) - 1) / 2 AS ry,
+                     rank() OVER (PARTITION BY {group}, season ORDER BY p)
+                     + (count(*) OVER (PARTITION BY {group}, season, p) - 1) / 2 AS rp
+              FROM ranked WHERE actual"""
+    per = f"""SELECT {group}, season, count(*) FILTER (actual AND predicted) / any_value(k) AS precision_at_k,
+                     avg(abs(y - p)) FILTER (actual) AS mae_at_k, any_value(rho) AS spearman_at_k
+              FROM ranked LEFT JOIN (SELECT {group}, season, corr(ry, rp) AS rho FROM top GROUP BY ALL)
+                   USING ({group}, season)
+              WHERE n >= k GROUP BY {group}, season"""
+    return {"ranked": ranked, "top": top, "per": per}
+
+
+def tidy_metrics(group):
+    """All five metrics of guesses as (group.., metric, value)."""
+    return f"""
+    SELECT * FROM (SELECT {group}, round_even(mae, 3) AS mae, round_even(r, 3) AS r,
+                    round_even(precision_at_k, 3) AS precision_at_k, round_even(spearman_at_k, 3) AS spearman_at_k,
+                    round_even(mae_at_k, 3) AS mae_at_k
+             FROM (SELECT {group}, avg(abs(y - p)) AS mae, corr(y, p) AS r FROM guesses GROUP BY {group})
+             LEFT JOIN (SELECT {group}, avg(precision_at_k) AS precision_at_k, avg(spearman_at_k) AS spearman_at_k,
+                          avg(mae_at_k) AS mae_at_k FROM per GROUP BY {group}) USING ({group}))
+    UNPIVOT INCLUDE NULLS (value FOR metric IN (mae, r, precision_at_k, spearman_at_k, mae_at_k))"""
+
+
+METRICS = {"guesses": GUESSES, **metric_steps("position")}
+
+# The residual ridge by elimination: all features long, filled and scaled as the training rows say, the normal
+# equations of every position with 10 on the diagonal, and one column cleared a step.
+FEATURE_NAMES = (
+    "wopr", "air_yards", "yards_after_catch", "adot", "time_to_throw", "intended_air_yards", "efficiency", "separation",
+    "intended_air_yards_receiving", "offense_snaps", "snap_pct", "rz_targets", "rz_carries", "goalline_carries",
+    "designed_rushes", "scrambles", "team_pass_rate", "carry_share")
+FEATURES = ("career_season", "prev_ppg", "prev_games_played", "prev_fantasy_points_ppr", "prev_pass_attempts",
+            *(f"prev_{x}" for x in FEATURE_NAMES))
+N = len(FEATURES)
+RIDGE = {
+    "long_rows": f"""
+        SELECT player_id, season, position, is_train, CAST(name[2:] AS INT) AS i, value FROM (
+            SELECT player_id, season, position, is_train, {", ".join(f'CAST({x} AS DOUBLE) AS f{i}' for i, x in enumerate(FEATURES, 1))}
+            FROM rows) UNPIVOT INCLUDE NULLS (value FOR name IN ({", ".join(f"f{i}" for i in range(1, N + 1))}))""",
+    "long_filled": """
+        SELECT player_id, season, position, is_train, i, CASE WHEN med IS NULL THEN 0 ELSE coalesce(value, med) END AS value
+        FROM long_rows JOIN (SELECT position, i, median(value) FILTER (is_train) AS med FROM long_rows GROUP BY ALL)
+             USING (position, i)""",
+    "long_z": """
+        SELECT player_id, season, position, is_train, i, (value - m) / CASE WHEN s > 0 THEN s ELSE 1 END AS x
+        FROM long_filled JOIN (SELECT position, i, avg(value) AS m, stddev_pop(value) AS s FROM long_filled
+                               WHERE is_train GROUP BY ALL) USING (position, i)""",
+    "equations": f"""
+        SELECT position, a.i, b.i AS j, sum(a.x * b.x) + CASE WHEN a.i = b.i THEN 10 ELSE 0 END AS v
+        FROM long_z a JOIN long_z b USING (player_id, season, position) WHERE a.is_train GROUP BY position, a.i, b.i
+        UNION ALL
+        SELECT position, i, {N + 1}, sum(x * (ppg - expected)) FROM long_z JOIN priced USING (player_id, season, position)
+        WHERE long_z.is_train GROUP BY ALL""",
+    "solved": f"""
+        WITH RECURSIVE cleared AS (
+            SELECT 0 AS k, position, i, j, v FROM equations UNION ALL
+            SELECT k + 1, position, i, j, CASE WHEN i = k + 1 THEN line / corner ELSE v - side * line / corner END
+            FROM (SELECT *, max(v) FILTER (i = k + 1) OVER (PARTITION BY position, j) AS line,
+                         max(v) FILTER (j = k + 1) OVER (PARTITION BY position, i) AS side,
+                         max(v) FILTER (i = k + 1 AND j = k + 1) OVER (PARTITION BY position) AS corner
+                  FROM cleared WHERE k < {N}))
+        SELECT position, i, v AS coef FROM cleared WHERE k = {N} AND j = {N + 1}""",
+    "fitted": """
+        SELECT p.player_id, p.season, p.position, any_value(ppg) AS ppg, any_value(expected) AS expected,
+               any_value(expected) + any_value(base) + sum(x * coef) AS ridge
+        FROM priced p JOIN long_z z USING (player_id, season, position) JOIN solved s ON z.i = s.i AND z.position = s.position
+             JOIN (SELECT position, avg(ppg - expected) AS base FROM priced WHERE is_train GROUP BY position) b ON b.position = p.position
+        WHERE NOT p.is_train GROUP BY ALL""",
+}
+SCORED = """
+    SELECT position, model, season, ppg AS y, p, CASE position WHEN 'AUTOMOBILE' THEN 8 WHEN 'MACHINERY' THEN 8
+           WHEN 'HOUSEHOLD' THEN 10 ELSE 12 END AS k
+    FROM (SELECT position, 'market' AS model, season, ppg, expected AS p FROM fitted
+          UNION ALL SELECT position, 'ridge', season, ppg, ridge FROM fitted)"""
 
 
 def rows(spark, folder, cols=PAIR, wide=False):
@@ -66,15 +137,10 @@ def guesses(spark, folder):
         "player_id", "position", "season", F.col("ppg").alias("y"), F.col("prev_ppg").alias("p"))
 
 
-FITTED = {}
-
-
 def valued(spark, folder, boosted):
-    """The whole valuation, fitted once per application and folder."""
-    key = (spark.sparkContext.applicationId, folder, boosted)
-    if key not in FITTED:
-        FITTED[key] = val.valuation(c.mega(spark, folder), t.SEGMENT_K, t.TRAIN, t.TEST, boosted=boosted)
-    return FITTED[key]
+    """The whole valuation; boosted models fitted on the same files before are loaded."""
+    inputs = [f"{folder}/{name}.parquet" for name in ("customer", "events", "lineitem", "orders", "part")]
+    return val.valuation(c.mega(spark, folder), t.SEGMENT_K, t.TRAIN, t.TEST, boosted=boosted, store=ModelStore(spark, inputs))
 
 
 def per_period(spark, folder, *cols):
@@ -83,12 +149,12 @@ def per_period(spark, folder, *cols):
 
 
 @query("a16_residual_statistics", with_views("""
-    SELECT position, round(avg(ppg - expected) / 1e6, 4) + 0 AS mean, round(stddev_samp(ppg - expected) / 1e6, 4) AS std,
-           round(min(ppg - expected) / 1e6, 4) AS min, round(max(ppg - expected) / 1e6, 4) AS max
+    SELECT position, round(avg(ppg - expected), 1) + 0 AS mean, round(stddev_samp(ppg - expected), 1) AS std,
+           round(min(ppg - expected), 1) AS min, round(max(ppg - expected), 1) AS max
     FROM priced WHERE is_train GROUP BY position""", "mega", **STEPS))
 def _(spark, folder):
     stats = spread_stats(priced(spark, folder)[0].where("is_train"), "residual", ["position"])
-    return stats.select("position", *[(F.round(F.col(x) / 1e6, 4) + 0).alias(x) for x in ("mean", "std", "min", "max")])
+    return stats.select("position", *[(F.round(x, 1) + 0).alias(x) for x in ("mean", "std", "min", "max")])
 
 
 @query("a17_mean_absolute_error", with_views(
@@ -146,23 +212,35 @@ def _(spark, folder):
 
 
 @query("m4_ridge_baseline", with_views("""
-    SELECT position, round(intercept / 1e6, 4) AS intercept, round(c1 / 1e6, 4) AS coef_adp_overall,
-           round(c2 / 1e6, 4) AS coef_adp_position_rank, n_train FROM coefs""", "mega", **STEPS))
+    SELECT position, round(intercept, 1) AS intercept, round(c1, 1) AS coef_adp_overall,
+           round(c2, 1) AS coef_adp_position_rank, n_train FROM coefs""", "mega", **STEPS))
 def _(spark, folder):
     coefs = priced(spark, folder)[1]
-    scaled = [F.round(F.col(x) / 1e6, 4).alias(x) for x in ("intercept", "coef_adp_overall", "coef_adp_position_rank")]
-    return coefs.select("position", *scaled, "n_train")
+    shown = [F.round(x, 1).alias(x) for x in ("intercept", "coef_adp_overall", "coef_adp_position_rank")]
+    return coefs.select("position", *shown, "n_train")
 
 
 @query("m5_residual_target", with_views(
-    "SELECT player_id, season, round((ppg - expected) / 1e6, 3) + 0 AS residual FROM priced", "mega", **STEPS))
+    "SELECT player_id, season, round(ppg - expected, 1) + 0 AS residual FROM priced", "mega", **STEPS))
 def _(spark, folder):
-    return priced(spark, folder)[0].select("player_id", "season", (F.round(F.col("residual") / 1e6, 3) + 0).alias("residual"))
+    return priced(spark, folder)[0].select("player_id", "season", (F.round("residual", 1) + 0).alias("residual"))
 
 
-@query("m6_residual_ridge")
+@query("m6_residual_ridge", with_views("""
+    SELECT player_id, season, position, ppg, round(ridge, 1) + 0 AS ridge FROM fitted""", "mega", **STEPS, **RIDGE))
 def _(spark, folder):
-    return valued(spark, folder, False).predictions.select("player_id", "season", "position", "ppg", "ridge")
+    fitted = valued(spark, folder, False).predictions
+    return fitted.select("player_id", "season", "position", "ppg", (F.round("ridge", 1) + 0).alias("ridge"))
+
+
+@query("m6b_residual_ridge_coefficients", with_views(f"""
+    SELECT position, i, round(coef, 1) + 0 AS coef FROM solved WHERE i <= {N}""", "mega", **STEPS, **RIDGE))
+def _(spark, folder):
+    ridge = valued(spark, folder, False)
+    order = F.create_map(*[x for i, name in enumerate(FEATURES, 1) for x in (F.lit(name), F.lit(i))])
+    named = F.arrays_zip(F.array(*map(F.lit, ridge.features)).alias("name"), F.col("coefs").alias("coef"))
+    tall = ridge.residual_ridge.select("position", F.explode(named).alias("x"))
+    return tall.select("position", order[F.col("x.name")].alias("i"), (F.round("x.coef", 1) + 0).alias("coef"))
 
 
 @query("m7_residual_boosted")
@@ -178,13 +256,13 @@ LEFT = """SELECT z.*, expected, z.ppg - expected AS residual FROM z JOIN priced
 
 
 @query("m8_final_prediction", with_views("""
-    SELECT player_id, season, round((expected + intercept + c1 * z1 + c2 * z2) / 1e6, 3) + 0 AS final
+    SELECT player_id, season, round(expected + intercept + c1 * z1 + c2 * z2) + 0 AS final
     FROM left_over, pooled WHERE NOT is_train""", "mega", **STEPS, left_over=LEFT, pooled=POOLED.format(y="residual", rows="left_over")))
 def _(spark, folder):
     ready = settle(regression.assemble(priced(spark, folder)[0], PAIR))
     model = regression.fit_ridge(ready.where("is_train"), val.RESIDUAL, 1.0)
     final = regression.add_fit(ready.where("not is_train"), model, val.EXPECTED, "final")
-    return final.select("player_id", "season", (F.round(F.col("final") / 1e6, 3) + 0).alias("final"))
+    return final.select("player_id", "season", (F.round("final", 0) + 0).alias("final"))
 
 
 @query("m9_pooled_accuracy", with_views(
@@ -218,19 +296,19 @@ def _(spark, folder):
     return valued(spark, folder, True).importances
 
 
-@query("m14_metrics_per_position", with_views("""
-    SELECT * FROM (SELECT position, 'p' AS model, round_even(mae, 3) AS mae, round_even(r, 3) AS r,
-                    round_even(precision_at_k, 3) AS precision_at_k, round_even(spearman_at_k, 3) AS spearman_at_k,
-                    round_even(mae_at_k, 3) AS mae_at_k
-             FROM (SELECT position, avg(abs(y - p)) AS mae, corr(y, p) AS r FROM guesses GROUP BY position)
-             LEFT JOIN (SELECT position, avg(precision_at_k) AS precision_at_k, avg(spearman_at_k) AS spearman_at_k,
-                          avg(mae_at_k) AS mae_at_k FROM per GROUP BY position) USING (position))
-    UNPIVOT INCLUDE NULLS (value FOR metric IN (mae, r, precision_at_k, spearman_at_k, mae_at_k))""", "mega", **METRICS))
+@query("m14_metrics_per_position", with_views(
+    f"SELECT position, 'p' AS model, metric, value FROM ({tidy_metrics('position')})", "mega", **METRICS))
 def _(spark, folder):
     return metrics.evaluate(guesses(spark, folder), "y", ["p"], "season", t.SEGMENT_K, ["position"], "position")
 
 
 @query("m15_metrics_table")
+def _(spark, folder):
+    return valued(spark, folder, True).metrics()
+
+
+@query("m15b_market_and_ridge_metrics", with_views(
+    tidy_metrics("position, model"), "mega", **STEPS, **RIDGE, guesses=SCORED, **metric_steps("position, model")))
 def _(spark, folder):
     return valued(spark, folder, False).metrics()
 
@@ -250,9 +328,8 @@ def _(spark, folder):
 
 @query("t5_top_features")
 def _(spark, folder):
-    train = val.scaled_rows(rows(spark, folder, [*PAIR, *NUMERIC], True), [*PAIR, *NUMERIC]).where("is_train")
-    model = regression.fit_boosted(settle(regression.assemble(train, NUMERIC)), "ppg")
-    return regression.importances(model, NUMERIC, 10, spark)
+    """The ten features that the residual models use most, with their place in their position."""
+    return ordering.rank_min(valued(spark, folder, True).importances, ["position"], "importance", "place")
 
 
 @query("s18_json_sink", with_views("""
@@ -265,7 +342,7 @@ def _(spark, folder):
 
 
 @query("s19_model_sink", with_views("""
-    SELECT player_id, season, ppg, round((intercept + c1 * z1 + c2 * z2) / 1e6, 4) + 0 AS fit FROM z, pooled WHERE NOT is_train""",
+    SELECT player_id, season, ppg, round(intercept + c1 * z1 + c2 * z2) + 0 AS fit FROM z, pooled WHERE NOT is_train""",
     "mega", **STEPS, pooled=POOLED.format(y="ppg", rows="z")))
 def _(spark, folder):
     ready = regression.assemble(val.scaled_rows(rows(spark, folder), PAIR), PAIR)
@@ -273,7 +350,7 @@ def _(spark, folder):
     saved = sinks.write_models({"market_ridge": model}, scratch_path(spark, "models"))
     again = LinearRegressionModel.load(saved["market_ridge"])
     return again.transform(ready.where("not is_train")).select(
-        "player_id", "season", "ppg", (F.round(F.col("_fit") / 1e6, 4) + 0).alias("fit"))
+        "player_id", "season", "ppg", (F.round("_fit", 0) + 0).alias("fit"))
 
 
 @query("q10_valuation_model")

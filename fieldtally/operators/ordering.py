@@ -9,6 +9,7 @@ shifted by what the earlier slices hold.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,10 +83,27 @@ def rank_average(df: DataFrame, by: Sequence[str], value: str, out: str, descend
     return _with_rank(df, by, value, F.col(_BEFORE) + (F.col(_N) + 1) / 2, out, descending)
 
 
-def rank_first(df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
-    """Position of each row in its group. End ``order`` with a tie-break that makes it unique."""
-    numbered = running_total(df, by, order)
-    return numbered.select(*df.columns, (F.col(_BEFORE) + 1).cast("int").alias(out))
+def rank_first(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str, on: Sequence[str] | None = None, unique: bool = False
+) -> DataFrame:
+    """Position of each row in its group; rows that ``order`` can't tell apart follow each other in no fixed order.
+
+    With ``on``, the columns that ``order`` reads, only these and the group
+    are ordered and written, and the positions are joined back: wide rows are
+    not written at all. ``unique`` promises that the group and ``on`` tell all
+    rows apart, which saves a step; a promise that doesn't hold fails the job.
+    """
+    if on is None:
+        numbered = running_total(df, by, order)
+        return numbered.select(*df.columns, (F.col(_BEFORE) + 1).cast("int").alias(out))
+    keys = list(dict.fromkeys([*by, *on]))
+    # Equal rows are one row here, so the way back can't multiply them.
+    ranked = running_total(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)), by, order, _N)
+    named = ranked.select(*[F.col(c).alias(f"_k_{c}") for c in keys], _N, _BEFORE)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+    error = F.raise_error(F.lit(f"{', '.join(keys)} do not tell all rows apart")).cast("int")
+    own = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))) if not unique else F.when(F.col(_N) > 1, error).otherwise(1)
+    return df.join(named, same).select(*df.columns, (F.col(_BEFORE) + own).cast("int").alias(out))
 
 
 def ordinal(df: DataFrame, entity: str, period: str, out: str) -> DataFrame:
@@ -148,15 +166,27 @@ def rank_cutoff(
 def exact_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Interpolated median of every column per group, as (by.., feature, median).
 
-    All columns go through one job. Columns without any value in a group have
-    no row.
+    All columns go through one job. Values are counted, range partitioned and
+    written once. The row counts of the slices, one row per group and slice,
+    tell which slices hold the middle; only these one or two are read again
+    and numbered. Columns without any value in a group have no row.
     """
     typed = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
     tall = typed.unpivot(list(by), list(cols), "feature", "value")
     keys = [*by, "feature"]
-    spread = running_total(_counted(tall, keys, "value"), keys, [F.col("value").asc()], _N, total="_total")
-    holds = lambda position: (F.col(_BEFORE) <= position) & (position < F.col(_BEFORE) + F.col(_N))
-    low, high = F.expr("(_total - 1) div 2"), F.expr("_total div 2")
-    return spread.where(holds(low) | holds(high)).groupBy(*keys).agg(
-        ((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2).alias("median")
+    counted = _counted(tall, keys, "value")
+    slices = settle(counted.repartitionByRange(*keys, "value").withColumn(_SLICE, F.spark_partition_id()), "slices")
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = slices.groupBy(*keys, _SLICE).agg(F.sum(_N).alias("_size")).select(
+        *keys, _SLICE, "_size", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias(_OFFSET), F.sum("_size").over(whole).alias("_total"),
+    ).withColumns({"_low": F.expr("(_total - 1) div 2"), "_high": F.expr("_total div 2")})
+    middle = lambda place: (F.col(_OFFSET) <= F.col(place)) & (F.col(place) < F.col(_OFFSET) + F.col("_size"))
+    # At most two rows per group, written so that the optimizer knows their size.
+    wanted = settle(sizes.where(middle("_low") | middle("_high")).drop("_size", "_total"), "middles")
+    local = Window.partitionBy(*keys, _SLICE).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = slices.join(wanted, [*keys, _SLICE]).withColumn("_upto", F.col(_OFFSET) + F.sum(_N).over(local))
+    holds = lambda place: (F.col("_upto") - F.col(_N) <= F.col(place)) & (F.col(place) < F.col("_upto"))
+    return numbered.where(holds("_low") | holds("_high")).groupBy(*keys).agg(
+        ((F.max(F.when(holds("_low"), F.col("value"))) + F.max(F.when(holds("_high"), F.col("value")))) / 2).alias("median")
     )

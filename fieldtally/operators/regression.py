@@ -7,11 +7,15 @@ broadcasts them when that is small and shuffles otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +95,65 @@ def predict_pair(df: DataFrame, coefs: DataFrame, x: tuple[str, str], by: Sequen
     return _attach(df, coefs, by).select(*df.columns, value.alias(out))
 
 
+def gram_table(train: DataFrame, cols: Sequence[str], y: str, by: Sequence[str]) -> DataFrame:
+    """Per group: by.., n, the sums of ``cols`` and ``y`` and of the products of every two of them.
+
+    One aggregate for all groups, combined before the shuffle: a task sends
+    one row per group, however many rows it read. ``products`` is the upper
+    triangle, row by row, with ``y`` as the last column.
+    """
+    width = len(cols) + 1
+    values = train.select(*by, F.array(*[F.col(c).cast("double") for c in (*cols, y)]).alias("_z"))
+    row = lambda v, i: F.transform(F.slice("_z", i + 1, F.lit(width) - i), lambda w: v * w)
+    sums = values.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_train"),
+        Summarizer.sum(array_to_vector("_z")).alias("_sums"),
+        Summarizer.sum(array_to_vector(F.flatten(F.transform("_z", row)))).alias("_products"),
+    )
+    return sums.select(*by, "n_train", vector_to_array("_sums").alias("sums"), vector_to_array("_products").alias("products"))
+
+
+def ridge_table(train: DataFrame, cols: Sequence[str], y: str, by: Sequence[str], alpha: float) -> DataFrame:
+    """Ridge with a free intercept for every group at once: by.., intercept, coefs (in the order of ``cols``), n_train.
+
+    The rows are read once for all groups; each group's system, no larger than
+    the square of its columns, is solved by Cholesky where its row lies.
+    ``cols`` and ``y`` hold no NULL. Without training rows there is no row.
+    """
+
+    # Nested, so that it travels by value and the tasks need not have this package installed.
+    def solution(n: int, sums: np.ndarray, products: np.ndarray) -> tuple[float, np.ndarray]:
+        width = len(sums)
+        full = np.zeros((width, width))
+        full[np.triu_indices(width)] = products
+        full += np.triu(full, 1).T
+        mean = sums / n
+        centred = full - n * np.outer(mean, mean)
+        lower = np.linalg.cholesky(centred[:-1, :-1] + alpha * np.eye(width - 1))
+        coefs = np.linalg.solve(lower.T, np.linalg.solve(lower, centred[:-1, -1]))
+        return float(mean[-1] - coefs @ mean[:-1]), coefs
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            fits = [solution(*fit) for fit in zip(frame["n_train"], frame["sums"], frame["products"])]
+            out = frame.drop(columns=["sums", "products"])
+            out["intercept"], out["coefs"] = [f[0] for f in fits], [f[1] for f in fits]
+            yield out
+
+    kept = gram_table(train, cols, y, by)
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("sums", "products").schema)
+    return settle(kept.mapInPandas(solve, f"{shape}, intercept double, coefs array<double>"), "ridge")
+
+
+def add_ridge(df: DataFrame, fitted: DataFrame, cols: Sequence[str], by: Sequence[str], base: str, out: str) -> DataFrame:
+    """``base`` plus the prediction of ``ridge_table``; NULL in groups without a fit."""
+    value = F.col(base) + F.col("_intercept")
+    for i, c in enumerate(cols):
+        value = value + F.col("_coefs")[i] * F.col(c)
+    named = fitted.select(*by, F.col("intercept").alias("_intercept"), F.col("coefs").alias("_coefs"))
+    return _attach(df, named, by).select(*df.columns, value.alias(out))
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """Pack numeric columns into one vector column."""
     return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)

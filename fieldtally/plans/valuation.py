@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +14,13 @@ from fieldtally.operators.aggregates import spread_stats
 from fieldtally.operators.metrics import evaluate
 from fieldtally.operators.ordering import rank_min
 from fieldtally.operators.regression import (
-    add_fit, assemble, fit_boosted, fit_ridge, importances, impute_median, median_table, predict_pair, ridge_pair,
-    scale_table, standardize, union_all,
+    add_fit, add_ridge, assemble, fit_boosted, importances, impute_median, median_table, predict_pair, ridge_pair,
+    ridge_table, scale_table, standardize, union_all,
 )
 from fieldtally.plans import league
 from fieldtally.plans.explore import residual_features
 from fieldtally.session import settle
+from fieldtally.sources.models import ModelStore
 
 TARGET, EXPECTED, RESIDUAL = "ppg", "expected_ppg", "residual"
 
@@ -30,6 +32,7 @@ class Valuation:
     predictions: DataFrame
     residual_stats: DataFrame
     coefficients: DataFrame
+    residual_ridge: DataFrame
     importances: DataFrame | None
     features: list[str]
     top_k: Mapping[str, int]
@@ -80,49 +83,54 @@ def valuation(
     ridge_alpha: float = 10.0,
     trees: int = 400,
     boosted: bool = True,
+    store: ModelStore | None = None,
 ) -> Valuation:
     """Fit per group and predict the test seasons.
 
-    The model input is written once, one folder per group: every fit reads its
-    own folder instead of building the wide table again.
+    The model input is written once, one folder per group. The residual ridge
+    of all groups is one job; the boosted models read a folder each. With a
+    ``store``, boosted models fitted before on the same files with the same
+    settings are loaded instead.
     """
     features = list(features or residual_features(mega))
     columns = list(dict.fromkeys([*league.MARKET_COLUMNS, *features]))
     rows = settle(training_rows(mega, list(top_k), columns, train, test, group, ids))
     priced, coefs = baseline(scaled_rows(rows, columns, group), group=group)
-    kept = [*ids, group, "season", TARGET, EXPECTED, RESIDUAL, "is_train", "features"]
-    ready = settle(assemble(priced, features).select(*kept), "model-rows", group)
+    kept = list(dict.fromkeys([*ids, group, "season", TARGET, EXPECTED, RESIDUAL, "is_train", *features]))
+    ready = settle(priced.select(*kept), "model-rows", group)
+    learn = ready.where("is_train")
+    ridge = ridge_table(learn, features, RESIDUAL, [group], ridge_alpha)
 
-    known = {r[0] for r in ready.where("is_train").select(group).distinct().collect()}
+    known = {r[0] for r in ridge.select(group).collect()}
     # A group without training rows has nothing to predict from: it is left out of the result.
     groups = [value for value in top_k if value in known]
     if not groups:
         raise ValueError("no group has training rows")
-    parts = {value: ready.where(F.col(group) == value) for value in groups}
-
-    def fit(value: str) -> tuple:
-        rows = parts[value].where("is_train")
-        return fit_ridge(rows, RESIDUAL, ridge_alpha), fit_boosted(rows, RESIDUAL, trees) if boosted else None
-
-    # The groups' fits are independent chains of short jobs; a few at a time keep the executors busy.
-    with ThreadPool(min(8, len(groups))) as pool:
-        fitted = dict(zip(groups, pool.map(fit, groups)))
-    models, predicted, reports = {}, [], []
-    for value in groups:
-        score = parts[value].where("not is_train")
-        models[f"{value}_ridge"], model = fitted[value]
-        out = add_fit(score, models[f"{value}_ridge"], EXPECTED, "ridge")
-        if boosted:
-            models[f"{value}_boosted"] = model
-            out = add_fit(out, model, EXPECTED, "boosted")
-            reports.append(importances(model, features, 10, mega.sparkSession, **{group: value}))
-        predicted.append(out.drop("features", "is_train"))
-    predictions = union_all(predicted).withColumn("market", F.col(EXPECTED))
+    score = ready.where(~F.col("is_train") & F.col(group).isin(*groups))
+    predictions = add_ridge(score, ridge, features, [group], EXPECTED, "ridge")
+    models, report = {}, None
+    if boosted:
+        parts = {value: assemble(ready.where(F.col(group) == value), features) for value in groups}
+
+        def fit(value: str) -> GBTRegressionModel:
+            make = lambda: fit_boosted(parts[value].where("is_train"), RESIDUAL, trees)
+            settings = [value, features, trees, sorted(train), sorted(test)]
+            return store.get(GBTRegressionModel, make, settings) if store else make()
+
+        # The groups' fits are independent chains of short jobs; a few at a time keep the executors busy.
+        with ThreadPool(min(8, len(groups))) as pool:
+            models = dict(zip(groups, pool.map(fit, groups)))
+        report = union_all([importances(models[v], features, 10, mega.sparkSession, **{group: v}) for v in groups])
+        vectors = assemble(predictions, features)
+        predictions = union_all([add_fit(vectors.where(F.col(group) == v), models[v], EXPECTED, "boosted") for v in groups])
+    outcome = [c for c in ("ridge", "boosted") if c in predictions.columns]
+    labels = list(dict.fromkeys([*ids, group, "season", TARGET, EXPECTED, RESIDUAL]))
     return Valuation(
-        predictions=predictions,
-        residual_stats=spread_stats(ready.where("is_train"), RESIDUAL, [group]),
+        predictions=predictions.select(*labels, *outcome, F.col(EXPECTED).alias("market")),
+        residual_stats=spread_stats(learn, RESIDUAL, [group]),
         coefficients=coefs,
-        importances=union_all(reports) if reports else None,
+        residual_ridge=ridge,
+        importances=report,
         features=features,
         top_k=top_k,
         group=group,

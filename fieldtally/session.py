@@ -45,9 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder inside the shared one."""
+    return f"{shared_dir(spark)}/fieldtally-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path inside the shared folder, below one folder per application."""
-    return f"{shared_dir(spark)}/fieldtally-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path inside the application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the storage layer for ``path``, whatever store it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def settle(df: DataFrame, name: str = "settled", by: str | None = None) -> DataFrame:
@@ -69,5 +80,5 @@ def settle(df: DataFrame, name: str = "settled", by: str | None = None) -> DataF
 
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete everything this application settled; returns whether there was something to delete."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/fieldtally-{spark.sparkContext.applicationId}")
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = file_system(spark, scratch_root(spark))
+    return files.delete(folder, True)

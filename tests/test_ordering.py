@@ -110,3 +110,39 @@ def test_rank_min_property(spark, data):
     want = frame.assign(r=frame.groupby("g")["v"].rank(ascending=False, method="min")).groupby(["g", "v"])["r"].first()
     for row in got.collect():
         assert row.a == row.b == want[(row.g, float(row.v))]
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_rank_first_by_keys_alone(spark, unique, monkeypatch):
+    """Only the keys are ordered; wide rows, NULLs and rows that tie come back whole."""
+    written = []
+    real = ordering.settle
+    monkeypatch.setattr(ordering, "settle", lambda df, *a: written.append(df.columns) or real(df, *a))
+    frame = skewed(4)
+    df = to_spark(spark, frame).withColumn("wide", F.repeat(F.lit("x"), 50))
+    order = [F.col("v").asc_nulls_last(), F.col("i").asc()]
+    got = ordering.rank_first(df, ["g"], order, "r", ["v", "i"], unique).toPandas().set_index("i").sort_index()
+    want = frame.sort_values(["g", "v", "i"], na_position="last").groupby("g").cumcount().add(1).sort_index()
+    assert (got["r"].to_numpy() == want.to_numpy()).all() and (got["wide"] == "x" * 50).all()
+    assert len(written) == 1 and not any("wide" in cols for cols in written)
+    tied = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("a", None), ("a", None), (None, 1)], "g string, v int")
+    ranked = lambda: sorted((str(r.g), str(r.v), r.r) for r in ordering.rank_first(tied, ["g"], [F.col("v").asc_nulls_last()], "r", ["v"], unique).collect())
+    if unique:
+        with pytest.raises(Exception, match="tell all rows apart"):
+            ranked()
+    else:
+        assert ranked() == [("None", "1", 1), ("a", "1", 1), ("a", "1", 2), ("a", "2", 3), ("a", "None", 4), ("a", "None", 5)]
+
+
+def test_medians_read_only_the_middle_slices(spark, monkeypatch):
+    """No shuffle of the values by the bare group, and no join of group totals."""
+    frames = {}
+    real = ordering.settle
+    monkeypatch.setattr(ordering, "settle", lambda df, name="settled": frames.setdefault(name, df) and real(df, name))
+    frame = skewed(6)
+    got = ordering.exact_medians(to_spark(spark, frame), ["v"], ["g"])
+    want = frame.groupby("g")["v"].median().dropna()
+    assert {r["g"]: r["median"] for r in got.collect()} == pytest.approx(want.to_dict())
+    text = frames["slices"]._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(g" in text and all("value" in line for line in text.splitlines() if "hashpartitioning(" in line)
+    assert real(frames["middles"]).count() <= 2 * frame["g"].nunique()
