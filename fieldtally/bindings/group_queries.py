@@ -187,7 +187,7 @@ def _(spark, folder):
         PARTITION BY position ORDER BY adp_overall, player_name) AS INT) AS adp_position_rank FROM feed""", "feed"))
 def _(spark, folder):
     order = [F.col("adp_overall").asc(), F.col("player_name").asc()]
-    return ordering.rank_first(t.feed(spark, folder), ["position"], order, "adp_position_rank")
+    return ordering.rank_first(t.feed(spark, folder), ["position"], order, "adp_position_rank", ["adp_overall", "player_name"])
 
 
 @query("w2_finish_rank", with_views("SELECT player_id, season, position, finish FROM outcomes", "outcomes"))
@@ -216,7 +216,7 @@ def _(spark, folder):
     "parts_roster"))
 def _(spark, folder):
     order = [F.col("position").asc(), F.col("player_id").asc()]
-    rows = ordering.rank_first(t.parts_roster(spark, folder), ["full_name"], order, "career_season")
+    rows = ordering.rank_first(t.parts_roster(spark, folder), ["full_name"], order, "career_season", ["position", "player_id"], unique=True)
     return rows.drop("position")
 
 

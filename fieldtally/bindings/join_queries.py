@@ -169,17 +169,15 @@ def _(spark, folder):
     FROM rusher_counts c LEFT JOIN rusher_team USING (player_id, season) LEFT JOIN team_rates USING (posteam, season)""",
     "rusher_counts", "rusher_team", "team_rates"))
 def _(spark, folder):
-    p = plays(spark, folder)
-    rushers = feat.rusher_counts(p).select(*KEYS, "carries").join(feat.rusher_team(p), KEYS, "left")
-    return rushers.join(feat.team_rates(p).drop("team_pass_plays"), ["posteam", "season"], "left")
+    return feat.carry_context(feat.play_levels(t.raw_plays(spark, folder)))
 
 
 @query("j13_outer_receiver_rusher", with_views("""
     SELECT player_id, season, rz_targets, carries, rz_carries, goalline_carries, designed_rushes, scrambles
     FROM receiver_counts FULL JOIN rusher_counts USING (player_id, season)""", "receiver_counts", "rusher_counts"))
 def _(spark, folder):
-    p = plays(spark, folder)
-    return joins.outer_join_first_wins([feat.receiver_counts(p), feat.rusher_counts(p)], KEYS)
+    levels = feat.play_levels(t.raw_plays(spark, folder))
+    return joins.outer_join_first_wins([feat.receiver_zones(levels), feat.rusher_zones(levels)], KEYS, unique_keys=True)
 
 
 @query("j14_aligned_counts", with_views(

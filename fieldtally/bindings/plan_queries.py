@@ -5,26 +5,35 @@ from pyspark.sql import functions as F
 from fieldtally.bindings import composed as c
 from fieldtally.bindings import tables as t
 from fieldtally.bindings.group_queries import CORR_SQL, WIDE_NULLS, rounded
+from fieldtally.bindings.model_queries import FEATURE_NAMES
 from fieldtally.bindings.registry import query
 from fieldtally.bindings.scalar_queries import LONG, SHORT, norm_sql, totals_of
-from fieldtally.bindings.scan_queries import PAGE_PLAYERS, market_pages
+from fieldtally.bindings.scan_queries import PAGE_PLAYERS, TABLE_ROWS, TABLES, full_pages
 from fieldtally.bindings.tables import with_views
-from fieldtally.contracts import PLAYS
+from fieldtally.contracts import PLAYS, shape
 from fieldtally.operators.aggregates import null_rates
-from fieldtally.operators.project import select_present
+from fieldtally.operators.project import select_present, stack_frames
 from fieldtally.operators.reshape import feature_row, profile
 from fieldtally.plans import explore, league, market
 from fieldtally.plans import features as feat
 from fieldtally.plans.mega import position_table
-from fieldtally.session import scratch_path
-from fieldtally.streaming.incremental import land_incremental
+from fieldtally.plans.season_stats import load_season_stats, season_stats_table
+from fieldtally.session import scratch_path, settle
+from fieldtally.streaming.incremental import land_incremental, read_landed
 
 KEYS = ["player_id", "season"]
 
 
 @query("q1_season_stats", with_views("SELECT * FROM season_stats", "season_stats"))
 def _(spark, folder):
-    return c.season_stats(spark, folder)
+    """Two loads into the stored table; the second repeats a season, and its keys, with outdated rows first."""
+    fresh = settle(c.season_stats(spark, folder), "season-stats")
+    stored = season_stats_table(spark, scratch_path(spark, "season-stats-table"), fresh.schema)
+    load_season_stats(stored, fresh.where("season <= 1998").withColumns({
+        "fantasy_points_ppr": F.col("fantasy_points_ppr") + F.when(F.col("season") == 1998, 1).otherwise(0), "file": F.lit(1)}), ["file"])
+    late = fresh.where("season >= 1998").withColumn("file", F.lit(2))
+    load_season_stats(stored, late.withColumns({"team": F.lit("outdated"), "file": F.lit(1)}).unionByName(late), ["file"])
+    return stored.read()
 
 
 def price_feed(spark, folder):
@@ -106,7 +115,7 @@ PAGE_STEPS = {
     "season_stats", **PAGE_STEPS))
 def _(spark, folder):
     stats = c.season_stats(spark, folder).withColumn("full_name", F.replace("full_name", F.lit("#"), F.lit(" ")))
-    everyone, _ = market.page_prices(market_pages(spark, folder), stats, positions=t.SEGMENTS)
+    everyone, _ = market.page_prices(full_pages(spark, folder), stats, positions=t.SEGMENTS)
     return everyone.drop("name_norm")
 
 
@@ -141,17 +150,11 @@ def _(spark, folder):
     return c.mega(spark, folder)
 
 
-MEGA_COLUMNS = [*league.POSITION_BASE, *t.STATS, "wopr", "adot", "team_pass_rate", "prev_targets", "prev_carries",
-                "prev_games_played", "prev_wopr", "prev_adot", "prev_team_pass_rate"]
-
-
-@query("q9_position_table", with_views("""
-    SELECT full_name, season, career_season, team, adp_overall, adp_position_rank, finish, ppg, prev_ppg, ppg_delta,
-           pts_delta, games_played, fantasy_points_ppr, pass_attempts, carries, targets, wopr, adot, team_pass_rate,
-           prev_games_played, prev_wopr, prev_adot, prev_team_pass_rate
-    FROM mega WHERE position = 'BUILDING'""", "mega"))
+@query("q9_position_table", with_views(TABLE_ROWS, "mega"))
 def _(spark, folder):
-    return position_table(c.mega(spark, folder), "BUILDING", MEGA_COLUMNS)
+    """The tables of all positions, each with its own columns, one below the other."""
+    wide = settle(c.mega(spark, folder), "mega", "position")
+    return stack_frames([position_table(wide, p, cols).withColumn("position", F.lit(p)) for p, cols in TABLES.items()])
 
 
 @query("q11a_profile", with_views("""
@@ -162,13 +165,40 @@ def _(spark, folder):
     return profile(c.mega(spark, folder, False), "ER#0000.*1$", league.PROFILE_COLUMNS)
 
 
-@query("q11b_feature_row", with_views("""
-    UNPIVOT (SELECT player_id, CAST(finish AS VARCHAR) AS finish, CAST(career_season AS VARCHAR) AS career_season, team
-             FROM mega WHERE season = 1999) ON finish, career_season, team INTO NAME feature VALUE value""", "mega"))
+# Every column of the wide table but the ids, as text or as a number.
+TEXT = ("position", "team")
+NUMBERS = ("games_played", "fantasy_points_ppr", "pass_attempts", "carries", "targets", "ppg", "career_season", "finish",
+           "prev_ppg", "prev_games_played", "prev_fantasy_points_ppr", "prev_pass_attempts", "adp_overall",
+           "adp_position_rank", *FEATURE_NAMES, *(f"prev_{x}" for x in FEATURE_NAMES), "ppg_delta", "pts_delta")
+
+
+def whole_rows(pattern, season):
+    """SQL: every column of the rows whose name matches, transposed."""
+    chosen = f"SELECT * FROM mega WHERE season = {season} AND regexp_matches(full_name, '{pattern}', 'i')"
+    numbers = ", ".join(f"CAST({x} AS DOUBLE) AS {x}" for x in NUMBERS)
+    return with_views(f"""
+        SELECT player_id, feature, NULL AS text, round(value, 4) + 0 AS number FROM (
+            UNPIVOT (SELECT player_id, {numbers} FROM ({chosen})) ON {", ".join(NUMBERS)} INTO NAME feature VALUE value)
+        UNION ALL
+        SELECT player_id, feature, value, NULL FROM (
+            UNPIVOT (SELECT player_id, {", ".join(TEXT)} FROM ({chosen})) ON {", ".join(TEXT)} INTO NAME feature VALUE value)""", "mega")
+
+
+def transposed(spark, folder, pattern, season):
+    long = feature_row(c.mega(spark, folder), pattern, season, ["player_id", "full_name", "season"])
+    number = F.expr("try_cast(value AS DOUBLE)")
+    return long.where("value is not null").select(
+        "player_id", "feature", F.when(number.isNull(), F.col("value")).alias("text"), (F.round(number, 4) + 0).alias("number"))
+
+
+@query("q11b_feature_row", whole_rows("customer#0+[0-9]*7$", 1999))
+def _(spark, folder):
+    return transposed(spark, folder, "CUSTOMER#0+[0-9]*7$", 1999)
+
+
+@query("r1_feature_row", whole_rows("#0*[1-9][0-9]?$", 1998))
 def _(spark, folder):
-    rows = c.mega(spark, folder, False).select("player_id", "full_name", "season", "finish", "career_season", "team")
-    long = feature_row(rows, "CUSTOMER", 1999, ["player_id", "full_name", "season"])
-    return long.where("value is not null").select("player_id", "feature", "value")
+    return transposed(spark, folder, "#0*[1-9][0-9]?$", 1998)
 
 
 @query("q11c_null_rates", with_views(f"SELECT * FROM ({WIDE_NULLS}) WHERE null_pct > 0", "mega"))
@@ -218,6 +248,6 @@ def _(spark, folder):
     WHERE season_type = 'REG' GROUP BY ALL""", "raw_plays"))
 def _(spark, folder):
     path = scratch_path(spark, "landed")
-    land_incremental(select_present(t.raw_plays(spark, folder).where(feat.REGULAR), PLAYS.fieldNames()), path)
-    landed = spark.read.schema(PLAYS).parquet(path)
+    land_incremental(select_present(t.raw_plays(spark, folder).where(feat.REGULAR), shape(PLAYS).fieldNames()), path)
+    landed = read_landed(spark, path, schema=PLAYS)
     return landed.groupBy("season", "week", "play_type").agg(F.count(F.lit(1)).alias("n"), F.sum("yardline_100").alias("yards"))

@@ -83,18 +83,6 @@ def _(spark, folder):
     return rows.join(cuts, by).where("ppg >= cut_y and prev_ppg >= cut_p").select(*by, "player_id")
 
 
-@query("r1_feature_row", with_views("""
-    UNPIVOT (SELECT player_id, CAST(season AS VARCHAR) AS season, position, team,
-                    CAST(games_played AS VARCHAR) AS games_played, CAST(finish AS VARCHAR) AS finish
-             FROM outcomes WHERE season = 1998)
-    ON season, position, team, games_played, finish INTO NAME feature VALUE value""", "outcomes"))
-def _(spark, folder):
-    rows = c.mega(spark, folder, False).select(
-        "player_id", "full_name", "season", "position", "team", "games_played", "finish")
-    wide = reshape.feature_row(rows, "customer#", 1998, ["player_id", "full_name"])
-    return wide.where(F.col("value").isNotNull()).drop("full_name")
-
-
 @query("r2_wide_to_long", """
     UNPIVOT (SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment, c_name FROM customer)
     ON c_nationkey, c_mktsegment, c_name INTO NAME feature VALUE value""")

@@ -7,14 +7,15 @@ from fieldtally.bindings import composed as c
 from fieldtally.bindings import tables as t
 from fieldtally.bindings.registry import query
 from fieldtally.bindings.tables import with_views
-from fieldtally.contracts import MARKET_DOCUMENT, PLAYS, key_report
+from fieldtally.contracts import MARKET_DOCUMENT, PLAYS, key_report, shape
 from fieldtally.operators.project import select_present, stack_frames
 from fieldtally.plans import league
 from fieldtally.plans.features import clean_plays, team_rates
-from fieldtally.plans.mega import position_table
+from fieldtally.plans.mega import position_columns, write_position_tables
 from fieldtally.session import scratch_path
 from fieldtally.sources import readers, sinks
-from fieldtally.streaming.incremental import land_incremental
+from fieldtally.sources.keyed import KeyedTable
+from fieldtally.streaming.incremental import land_incremental, read_landed
 
 KEY = readers.market_key(*league.PAGE_KEY)
 
@@ -31,6 +32,21 @@ def market_pages(spark, folder):
     return t.table(spark, folder, "customer").select("c_custkey", F.expr(text).alias("html"))
 
 
+def full_pages(spark, folder):
+    """The same players, some forty to a page."""
+    player = """format_string('{"first_name":" %s","last_name":"%s ","position":"%s",%s,"adps":{"%s":{"overall_pick_number":%d}}}',
+        if(c_nationkey = 3, 'New.', 'Customer'), substring(c_name, 10), c_mktsegment,
+        if(c_acctbal > 0, concat('"team_id":', c_nationkey), concat('"team_id":0,"team":{"id":', c_nationkey, '}')),
+        if(c_nationkey < 20, '11::107::12', '1::2::3'), cast(round(c_acctbal * 100) as bigint))"""
+    # A team listed twice goes by its last entry; nation 5 is not listed.
+    teams = ",".join(['{"id":0,"abbr":"old"}', *[f'{{"id":{n},"abbr":"N{n}"}}' for n in range(25) if n != 5], '{"id":99,"abbr":"ZZZ"}'])
+    rosters = t.table(spark, folder, "customer").groupBy(F.expr("c_custkey div 40").alias("page")).agg(
+        F.concat_ws(",", F.collect_list(F.expr(player))).alias("players"))
+    text = F.concat(F.lit(f'<html><script>var vueAppData = {{"teams":[{teams}],"projections":['), F.col("players"),
+                    F.lit(']}; var other = {"teams":[]};</script></html>'))
+    return rosters.select("page", text.alias("html"))
+
+
 PAGE_PLAYERS = """
     SELECT CASE WHEN c_nationkey = 3 THEN 'New. ' ELSE 'Customer ' END || c_name[10:] AS player_name, c_mktsegment AS position,
            -- Nation 5 is not in the team list. A zero team id counts as missing, a zero id of the nested team does not.
@@ -108,7 +124,7 @@ def _(spark, folder):
 @query("s7b_script_object", """
     SELECT c_custkey, CAST(2 AS INT) AS n_teams, CAST(1 AS INT) AS n_players, c_mktsegment AS position FROM customer""")
 def _(spark, folder):
-    parsed = readers.extract_script_json(market_pages(spark, folder), "html", league.PAGE_VARIABLE, MARKET_DOCUMENT)
+    parsed = readers.extract_script_json(market_pages(spark, folder), "html", league.PAGE_VARIABLE, shape(MARKET_DOCUMENT))
     d = "document."
     return parsed.select("c_custkey", F.size(d + "teams").alias("n_teams"), F.size(d + "projections").alias("n_players"),
                          F.col(d + "projections")[0]["position"].alias("position"))
@@ -116,13 +132,13 @@ def _(spark, folder):
 
 @query("s8_flatten_market", f"SELECT player_name, position, adp_overall FROM ({PAGE_PLAYERS})")
 def _(spark, folder):
-    pages = market_pages(spark, folder)
+    pages = full_pages(spark, folder)
     return readers.read_market_page(pages, "html", league.PAGE_VARIABLE, KEY, t.SEGMENTS).drop("team")
 
 
 @query("s9_team_lookup", f"SELECT player_name, team FROM ({PAGE_PLAYERS})")
 def _(spark, folder):
-    pages = market_pages(spark, folder)
+    pages = full_pages(spark, folder)
     players = readers.read_market_page(pages, "html", league.PAGE_VARIABLE, KEY, t.SEGMENTS)
     return players.select("player_name", "team")
 
@@ -156,6 +172,26 @@ def _(spark, folder):
     SELECT player_id, season, source, fantasy_points_ppr AS adp_overall, week AS adp_position_rank FROM weekly
     WHERE season >= 1998
     QUALIFY row_number() OVER (PARTITION BY player_id, season, source ORDER BY row_date DESC, row_id DESC) = 1"""))
+def _(spark, folder):
+    cols, keys = ["player_id", "season", "source", "adp_overall", "adp_position_rank"], ["player_id", "season", "source"]
+    old = t.market(spark, folder).where("season <= 1998").select(*cols)
+    new = t.weekly(spark, folder).where("season >= 1998").withColumnsRenamed(
+        {"fantasy_points_ppr": "adp_overall", "week": "adp_position_rank"})
+    shape_of = "player_id BIGINT, season INT, source STRING, adp_overall DOUBLE, adp_position_rank INT"
+    stored = KeyedTable(spark, scratch_path(spark, "market-table"), shape_of, keys, "season")
+    stored.upsert(old.withColumn("row", F.lit(1)), ["row"])
+    stored.upsert(new, ["row_date", "row_id"])
+    return stored.read()
+
+
+@query("s13b_upsert_plan", with_views("""
+    SELECT * FROM fresh UNION ALL
+    SELECT player_id, season, source, adp_overall, adp_position_rank FROM market m WHERE season <= 1998
+      AND NOT EXISTS (SELECT 1 FROM fresh f WHERE f.player_id = m.player_id AND f.season = m.season AND f.source = m.source)
+    """, "market", "weekly", fresh="""
+    SELECT player_id, season, source, fantasy_points_ppr AS adp_overall, week AS adp_position_rank FROM weekly
+    WHERE season >= 1998
+    QUALIFY row_number() OVER (PARTITION BY player_id, season, source ORDER BY row_date DESC, row_id DESC) = 1"""))
 def _(spark, folder):
     old = t.market(spark, folder).where("season <= 1998").select(
         "player_id", "season", "source", "adp_overall", "adp_position_rank")
@@ -185,10 +221,10 @@ def _(spark, folder):
     GROUP BY season""", "raw_plays"))
 def _(spark, folder):
     path = scratch_path(spark, "plays")
-    plays = select_present(t.raw_plays(spark, folder).where("season_type = 'REG'"), PLAYS.fieldNames())
+    plays = select_present(t.raw_plays(spark, folder).where("season_type = 'REG'"), shape(PLAYS).fieldNames())
     land_incremental(plays.where("season <= 1997"), path)
     land_incremental(plays, path)
-    return spark.read.parquet(path).groupBy("season").agg(
+    return read_landed(spark, path).groupBy("season").agg(
         F.count(F.lit(1)).alias("plays"), F.sum("air_yards").alias("air_yards"))
 
 
@@ -199,13 +235,18 @@ def _(spark, folder):
     return spark.read.parquet(path)
 
 
-@query("s17_csv_sink", with_views("SELECT position, full_name, season, finish, ppg FROM mega", "mega"))
+#: The ordered column list of each segment's table, and all of them in one order.
+TABLES = {p: position_columns(p, t.SEGMENT_STATS, t.SEGMENT_FEATURES) for p in t.ALL_SEGMENTS}
+WIDEST = sorted({x for cols in TABLES.values() for x in cols})
+# prev_carries and prev_targets stand on both sides of a join and so in no table.
+TABLE_ROWS = " UNION ALL ".join(
+    f"SELECT '{p}' AS position, " + ", ".join(x if x in cols else f"NULL AS {x}" for x in WIDEST if x not in ("prev_carries", "prev_targets"))
+    + f" FROM mega WHERE position = '{p}'" for p, cols in TABLES.items())
+
+
+@query("s17_csv_sink", with_views(TABLE_ROWS, "mega"))
 def _(spark, folder):
-    path, cols = scratch_path(spark, "position-tables"), ["full_name", "season", "finish", "ppg"]
-    wide = c.mega(spark, folder, False)
-    parquet = scratch_path(spark, "mega")
-    sinks.write_partitioned(wide.select("position", "player_id", *cols), parquet, "position")
-    stored = spark.read.parquet(parquet)
-    sinks.write_csv_per_value(stored, path, "position", t.ALL_SEGMENTS, lambda df, p: position_table(df, p, cols))
-    schema = "full_name string, season int, finish int, ppg double, position string"
-    return spark.read.option("header", True).schema(schema).csv(path)
+    path, wide = scratch_path(spark, "position-tables"), c.mega(spark, folder)
+    write_position_tables(wide, path, TABLES)
+    types = {f.name: f.dataType for f in wide.schema}
+    return stack_frames([sinks.read_table_of(spark, path, "position", p, types).withColumn("position", F.lit(p)) for p in TABLES])

@@ -22,6 +22,23 @@ STATS = ("games_played", "fantasy_points_ppr", "pass_attempts", "carries", "targ
 FIRST_SEASON = 1996
 TRAIN, TEST = (1996, 1997, 1998, 1999), (2000, 2001)
 SEGMENT_K = {"AUTOMOBILE": 8, "BUILDING": 12, "FURNITURE": 12, "MACHINERY": 8, "HOUSEHOLD": 10}
+# Stat and feature columns of each segment's own table.
+_CAUGHT = ("wopr", "air_yards", "yards_after_catch", "adot", "separation", "intended_air_yards_receiving", "rz_targets")
+_RUSHED = ("efficiency", "rz_carries", "goalline_carries", "carry_share", "team_pass_rate")
+SEGMENT_STATS = {
+    "AUTOMOBILE": ("games_played", "fantasy_points_ppr", "pass_attempts", "carries"),
+    "BUILDING": ("games_played", "fantasy_points_ppr", "carries", "targets"),
+    "FURNITURE": ("games_played", "fantasy_points_ppr", "targets"),
+    "MACHINERY": ("games_played", "fantasy_points_ppr", "targets"),
+    "HOUSEHOLD": STATS,
+}
+SEGMENT_FEATURES = {
+    "AUTOMOBILE": ("time_to_throw", "intended_air_yards", "snap_pct", "offense_snaps", "designed_rushes", "scrambles", "team_pass_rate"),
+    "BUILDING": (*_CAUGHT, *_RUSHED, "snap_pct"),
+    "FURNITURE": (*_CAUGHT, "snap_pct", "offense_snaps", "team_pass_rate"),
+    "MACHINERY": (*_CAUGHT, "team_pass_rate"),
+    "HOUSEHOLD": (*_CAUGHT, *_RUSHED),
+}
 UNPRICED = {"adp_overall": 300.0, "adp_position_rank": 75.0}
 TRACKING = {
     "passing": ("attempts", ("time_to_throw", "intended_air_yards")),

@@ -4,58 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    """``"name type, name type!"``: a trailing ``!`` marks a required column."""
-    kinds = {"s": T.StringType(), "i": T.IntegerType(), "d": T.DoubleType(), "l": T.LongType()}
-    fields = []
-    for part in text.split(","):
-        name, kind = part.split()
-        fields.append(T.StructField(name, kinds[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
-
-
-# Column names of the stored tables.
-SEASON_STATS = _struct(
-    "player_id s!, season i!, full_name s!, position s!, team s, games_played i, fantasy_points_ppr d,"
-    "completions i, pass_attempts i, passing_yards i, passing_tds i, interceptions i,"
-    "carries i, rushing_yards i, rushing_tds i, receptions i, targets i, receiving_yards i, receiving_tds i"
-)
-MARKET = _struct("player_id s!, season i!, adp_overall d, adp_position_rank i, source s!")
-PLAYS = _struct(
-    "season i, week i, season_type s, play_type s, posteam s, passer_player_id s, receiver_player_id s,"
-    "rusher_player_id s, pass_attempt s, rush_attempt s, qb_scramble s, sack s, complete_pass s,"
-    "air_yards d, yards_after_catch d, yardline_100 d, cpoe d"
-)
-MARKET_CSV = _struct(
-    "ADP d, Overall d, Name s, Position s, Team s, Times_Drafted i, Std_Dev d, High i, Low i, Bye i"
-)
-PLAY_FEATURES = _struct(
-    "player_id s!, season i!, cpoe d, air_yards_per_attempt d, rz_pass_attempts i, targets i, rz_targets i,"
-    "adot d, catch_rate d, yac_per_reception d, target_share d, air_yards_share d, rz_target_share d,"
-    "carries i, rz_carries i, goalline_carries i, rz_carry_share d, opportunity_share d"
-)
+# Names and types of the columns of the stored tables.
+SEASON_STATS = """
+    player_id STRING NOT NULL, season INT NOT NULL, full_name STRING NOT NULL, position STRING NOT NULL, team STRING,
+    games_played INT, fantasy_points_ppr DOUBLE, completions INT, pass_attempts INT, passing_yards INT,
+    passing_tds INT, interceptions INT, carries INT, rushing_yards INT, rushing_tds INT, receptions INT,
+    targets INT, receiving_yards INT, receiving_tds INT"""
+MARKET = """
+    player_id STRING NOT NULL, season INT NOT NULL, adp_overall DOUBLE, adp_position_rank INT, source STRING"""
+PLAYS = """
+    season INT, week INT, season_type STRING, play_type STRING, posteam STRING, passer_player_id STRING,
+    receiver_player_id STRING, rusher_player_id STRING, pass_attempt STRING, rush_attempt STRING, qb_scramble STRING,
+    sack STRING, complete_pass STRING, air_yards DOUBLE, yards_after_catch DOUBLE, yardline_100 DOUBLE, cpoe DOUBLE"""
+MARKET_CSV = """
+    ADP DOUBLE, Overall DOUBLE, Name STRING, Position STRING, Team STRING, Times_Drafted INT, Std_Dev DOUBLE,
+    High INT, Low INT, Bye INT"""
+PLAY_FEATURES = """
+    player_id STRING NOT NULL, season INT NOT NULL, cpoe DOUBLE, air_yards_per_attempt DOUBLE, rz_pass_attempts INT,
+    targets INT, rz_targets INT, adot DOUBLE, catch_rate DOUBLE, yac_per_reception DOUBLE, target_share DOUBLE,
+    air_yards_share DOUBLE, rz_target_share DOUBLE, carries INT, rz_carries INT, goalline_carries INT,
+    rz_carry_share DOUBLE, opportunity_share DOUBLE"""
 # One embedded market document: team list, player list, prices keyed by "format::source::size".
-MARKET_DOCUMENT = T.StructType([
-    T.StructField("teams", T.ArrayType(_struct("id l, abbr s"))),
-    T.StructField("projections", T.ArrayType(T.StructType([
-        T.StructField("first_name", T.StringType()),
-        T.StructField("last_name", T.StringType()),
-        T.StructField("position", T.StringType()),
-        T.StructField("team_id", T.LongType()),
-        T.StructField("team", _struct("id l")),
-        T.StructField("adps", T.MapType(T.StringType(), _struct("overall_pick_number d"))),
-    ]))),
-])
+MARKET_DOCUMENT = """
+    teams ARRAY<STRUCT<id: BIGINT, abbr: STRING>>,
+    projections ARRAY<STRUCT<
+        first_name: STRING, last_name: STRING, position: STRING, team_id: BIGINT, team: STRUCT<id: BIGINT>,
+        adps: MAP<STRING, STRUCT<overall_pick_number: DOUBLE>>>>"""
 
 SEASON_STATS_KEY = ("player_id", "season")
 MARKET_KEY = ("player_id", "season", "source")
 
 
+def shape(ddl: str) -> T.StructType:
+    """One of the shapes above as Spark's own type; needs a running session."""
+    return T.StructType.fromDDL(ddl)
+
+
+def required(df: DataFrame, cols: Sequence[str], table: str = "table") -> DataFrame:
+    """``df``, whose rows fail the job that reads them where one of ``cols`` is NULL. No job and no shuffle of its own."""
+    known = {f.name: f.dataType for f in df.schema}
+    checked = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{table}: {c} is NULL")).cast(known[c])) for c in cols}
+    return df.withColumns(checked)
+
+
+def unique_periods(df: DataFrame, entity: str, period: str, table: str = "table") -> DataFrame:
+    """``df``, whose rows fail the job that reads them where an entity has a period twice.
+
+    The check is a window over one entity's periods; next to other windows of
+    that kind it shares their shuffle and their sort.
+    """
+    before = F.lag(period).over(Window.partitionBy(entity).orderBy(period))
+    error = F.raise_error(F.format_string(f"{table}: {entity} %s has {period} %s twice", F.col(entity).cast("string"), F.col(period).cast("string")))
+    checked = F.when(F.col("_before") == F.col(period), error.cast(df.schema[period].dataType)).otherwise(F.col(period))
+    return df.withColumn("_before", before).withColumn(period, checked).select(*df.columns)
+
+
 def key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: row count, keys used more than once, surplus rows, and NULLs per key column."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -22,7 +22,7 @@ def derived_columns(df: DataFrame, tie: Sequence[str] = ("player_id",)) -> DataF
     player's seasons and the split ranking is used.
     """
     filled = df.fillna(dict(league.UNPRICED))
-    careers = rank_first(filled.drop("career_season"), ["full_name"], [F.col("season"), *map(F.col, tie)], "career_season")
+    careers = rank_first(filled.drop("career_season"), ["full_name"], [F.col("season"), *map(F.col, tie)], "career_season", ["season", *tie], unique=True)
     ratio = lambda points, games: nonzero_ratio(F.col(points), F.col(games))
     per_game = careers.withColumns({
         "ppg": ratio("fantasy_points_ppr", "games_played"),

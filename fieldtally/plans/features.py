@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from fieldtally.contracts import PLAY_FEATURES
+from fieldtally.contracts import PLAY_FEATURES, shape
 from fieldtally.functions.numeric import flag, safe_ratio, sum_or_zero, to_number
 from fieldtally.operators.aggregates import conditional_counts, group_denominators, group_present, weighted_mean
 from fieldtally.operators.joins import crosswalk, join_crosswalk, outer_join_first_wins, outer_join_suffix
@@ -197,6 +197,29 @@ def play_features(plays: DataFrame, levels: DataFrame | None = None) -> DataFram
     )
 
 
+def receiver_zones(levels: DataFrame) -> DataFrame:
+    """``receiver_counts`` from the counted plays."""
+    return levels.where("kind = 'receiver' and player_id is not null").groupBy(*KEYS).agg(F.sum("red_zone").alias("rz_targets"))
+
+
+def rusher_zones(levels: DataFrame) -> DataFrame:
+    """``rusher_counts`` from the counted plays."""
+    counts = dict(zip(RUSH_COUNTS, ("n", "red_zone", "goal_line", "designed", "scrambled")))
+    rushers = levels.where("kind = 'rusher' and player_id is not null")
+    return rushers.groupBy(*KEYS).agg(*[F.sum(c).alias(out) for out, c in counts.items()])
+
+
+def carry_context(levels: DataFrame) -> DataFrame:
+    """Carries of each rusher next to the rushes and the pass rate of the team they carried most often for."""
+    main_team = F.min(F.when(F.col("team").isNotNull(), F.struct((-F.col("n")).alias("rank"), "team")))
+    player = levels.where("kind = 'rusher' and player_id is not null").groupBy(*KEYS).agg(
+        F.sum("n").alias("carries"), main_team["team"].alias("posteam"))
+    team = levels.where("kind <> 'receiver' and team is not null").groupBy(F.col("team").alias("posteam"), "season").agg(
+        F.coalesce(_of("passer", "n"), F.lit(0)).alias("passes"), F.coalesce(_of("rusher", "n"), F.lit(0)).alias("team_rush_attempts"))
+    rate = safe_ratio(F.col("passes"), F.col("passes") + F.col("team_rush_attempts"))
+    return player.join(team.withColumn("team_pass_rate", rate).drop("passes"), ["posteam", "season"], "left")
+
+
 def feature_table(
     seasonal: DataFrame | None = None, tracking: DataFrame | None = None, snaps: DataFrame | None = None,
     plays: DataFrame | None = None,
@@ -280,4 +303,4 @@ def play_detail(plays: DataFrame) -> DataFrame:
         opportunity_share(levels).drop("opportunities"),
     ]
     wide = outer_join_first_wins(frames, KEYS, unique_keys=True)
-    return select_present(wide, PLAY_FEATURES.fieldNames())
+    return select_present(wide, shape(PLAY_FEATURES).fieldNames())

@@ -24,7 +24,7 @@ _STORED = ("player_id", "season", "adp_overall", "adp_position_rank", "source")
 def position_ranks(feed: DataFrame) -> DataFrame:
     """Rank within season and position by price, ties by name. Done before matching, so unmatched rows hold a rank."""
     order = [F.col("adp_overall").asc_nulls_last(), F.col("player_name").asc()]
-    return rank_first(feed, ["season", "position"], order, "adp_position_rank")
+    return rank_first(feed, ["season", "position"], order, "adp_position_rank", ["adp_overall", "player_name"])
 
 
 def market_feed(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldtally.contracts import unique_periods
 from fieldtally.functions.numeric import safe_ratio
 from fieldtally.operators.aggregates import mean_across
 from fieldtally.operators.joins import (
@@ -15,6 +16,7 @@ from fieldtally.operators.joins import (
 from fieldtally.operators.ordering import ordinal, rank_min
 from fieldtally.operators.project import select_present
 from fieldtally.plans import league
+from fieldtally.sources.sinks import write_tables_by_value
 
 KEYS = ("player_id", "season")
 
@@ -23,10 +25,11 @@ def outcomes(stats: DataFrame, relevant: DataFrame, prior: Sequence[str] = ()) -
     """Players that ever had a price, with points per game, career season, prior values and finish.
 
     The order matters: ranks only count relevant players, and career seasons
-    count from the first stored season. Career and prior values share one
-    shuffle by player, the one of the semi-join.
+    count from the first stored season. Career and prior values, and the check
+    that no season of a player is stored twice, share one shuffle by player,
+    the one of the semi-join.
     """
-    kept = semi_relevant(stats, relevant, "player_id")
+    kept = unique_periods(semi_relevant(stats, relevant, "player_id"), "player_id", "season", "season stats")
     rated = kept.withColumn("ppg", safe_ratio(F.col("fantasy_points_ppr"), F.col("games_played")))
     careers = ordinal(rated, "player_id", "season", "career_season")
     timed = prior_period(careers, "player_id", "season", prior) if prior else careers
@@ -80,3 +83,9 @@ def position_table(
     if ordered:
         rows = rows.orderBy("season", F.asc_nulls_last("finish"), "player_id")
     return select_present(rows, wanted)
+
+
+def write_position_tables(mega: DataFrame, path: str, columns: Mapping[str, Sequence[str]] | None = None) -> None:
+    """The tables of all positions as CSV, by season and finish, in one job."""
+    lists = columns or {p: position_columns(p) for p in league.POSITIONS}
+    write_tables_by_value(mega, path, "position", lists, [F.col("season"), F.asc_nulls_last("finish"), F.col("player_id")])

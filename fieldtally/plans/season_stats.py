@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from fieldtally.contracts import SEASON_STATS_KEY
+from fieldtally.contracts import SEASON_STATS_KEY, required
 from fieldtally.functions.names import override_by_key
 from fieldtally.functions.numeric import nan_to_null
 from fieldtally.operators.aggregates import rollup_period
 from fieldtally.operators.ordering import keep_one
 from fieldtally.operators.project import conform, select_present, stack_frames
 from fieldtally.plans import league
-from fieldtally.sources.sinks import upsert
+from fieldtally.sources.keyed import KeyedTable
+
+# Columns of the stored table that must not be NULL.
+REQUIRED = ("player_id", "season", "full_name", "position")
 
 
 def weekly_totals(weekly: DataFrame, seasons: Sequence[int], sums: Sequence[str] = league.WEEKLY_SUMS) -> DataFrame:
@@ -56,7 +60,10 @@ def season_stats(
     overrides: Mapping[str, str] = league.POSITION_OVERRIDES,
     sums: Sequence[str] = league.WEEKLY_SUMS,
 ) -> DataFrame:
-    """Totals of weekly seasons joined with their roster, plus the seasons of the newer files."""
+    """Totals of weekly seasons joined with their roster, plus the seasons of the newer files.
+
+    A row without key, name or position fails the job.
+    """
     frames = []
     if weekly is not None and roster is not None:
         old = [s for s in seasons if s <= last_weekly]
@@ -65,9 +72,16 @@ def season_stats(
     if season_files is not None:
         new = [s for s in seasons if s > last_weekly]
         frames.append(season_file(season_files.where(F.col("season").isin(*new)), positions, overrides))
-    return nan_to_null(select_present(stack_frames(frames), league.SEASON_STATS_COLUMNS))
+    rows = nan_to_null(select_present(stack_frames(frames), league.SEASON_STATS_COLUMNS))
+    return required(rows, REQUIRED, "season stats")
+
+
+def season_stats_table(spark: SparkSession, path: str, schema: StructType) -> KeyedTable:
+    """The stored table: a folder per season, so a load writes the seasons it brings."""
+    must = [StructField(f.name, f.dataType, f.name not in REQUIRED) for f in schema]
+    return KeyedTable(spark, path, StructType(must), SEASON_STATS_KEY, "season")
 
 
-def load_season_stats(stored: DataFrame, fresh: DataFrame, seq: Sequence[str]) -> DataFrame:
-    """Stored table after the upsert of fresh rows."""
-    return upsert(stored, fresh, SEASON_STATS_KEY, seq)
+def load_season_stats(stored: KeyedTable, fresh: DataFrame, seq: Sequence[str]) -> list[str]:
+    """Upsert fresh rows, the last step of a load; returns the seasons written."""
+    return stored.upsert(fresh, seq)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.contracts import MARKET_CSV, MARKET_DOCUMENT
+from fieldtally.contracts import MARKET_CSV, MARKET_DOCUMENT, shape
 from fieldtally.functions.names import join_names
 from fieldtally.operators.project import select_present
 
@@ -19,7 +19,7 @@ def read_parquet(spark: SparkSession, path: str, wanted: Sequence[str] | None =
     return df if wanted is None else select_present(df, wanted)
 
 
-def read_contract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_contract(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Parquet scan under a fixed schema: columns missing from some or all files read as NULL."""
     return spark.read.schema(schema).parquet(path)
 
@@ -83,28 +83,31 @@ def market_key(fmt: int | str, source: int | str, size: int | str) -> str:
 
 def flatten_market(df: DataFrame, key: str, positions: Sequence[str], document: str = "document",
                    keep: Sequence[str] = ()) -> DataFrame:
-    """Players of an embedded market document that have a price under ``key``."""
-    people = df.select(*keep, F.col(f"{document}.teams").alias("teams"),
-                       F.explode(f"{document}.projections").alias("p"))
-    priced = people.where(F.col("p.position").isin(*positions)).select(
-        *keep, "teams", "p", F.col("p.adps")[key].alias("price")
-    )
+    """Players of an embedded market document that have a price under ``key``.
+
+    All of it happens inside the page's arrays: one map from team id to
+    abbreviation (the last one listed), the wanted players, their four values.
+    Only then does a page become rows, so nothing of it is copied per player.
+    """
+    teams = F.filter(F.reverse(F.col(f"{document}.teams")), lambda t: t["id"].isNotNull())
+    ids = F.transform("_teams", lambda t: t["id"])
+    last = F.filter("_teams", lambda t, i: F.array_position(ids, t["id"]) == i + 1)
+    abbreviation = F.map_from_entries(F.transform(last, lambda t: F.struct(t["id"], t["abbr"])))
+    pick = lambda p: p["adps"][key]["overall_pick_number"]
+    priced = F.filter(f"{document}.projections", lambda p: p["position"].isin(*positions) & pick(p).isNotNull())
     # An id of 0 counts as missing.
-    team_id = F.coalesce(F.nullif(F.col("p.team_id"), F.lit(0)), F.col("p.team.id"))
-    named = F.filter("teams", lambda t: t["id"] == team_id)
-    team = F.get(F.reverse(named), F.lit(0))["abbr"]
-    return priced.where(F.col("price.overall_pick_number").isNotNull()).select(
-        *keep,
-        join_names(F.col("p.first_name"), F.col("p.last_name")).alias("player_name"),
-        F.col("p.position").alias("position"),
-        F.coalesce(team, F.lit("")).alias("team"),
-        F.col("price.overall_pick_number").alias("adp_overall"),
+    team_id = lambda p: F.coalesce(F.nullif(p["team_id"], F.lit(0)), p["team"]["id"])
+    player = lambda p: F.struct(
+        join_names(p["first_name"], p["last_name"]).alias("player_name"), p["position"].alias("position"),
+        F.coalesce(F.element_at("_abbr", team_id(p)), F.lit("")).alias("team"), pick(p).alias("adp_overall"),
     )
+    pages = df.withColumn("_teams", teams).withColumn("_abbr", abbreviation)
+    return pages.select(*keep, F.explode(F.transform(priced, player)).alias("_p")).select(*keep, "_p.*")
 
 
 def read_market_page(df: DataFrame, html: str, variable: str, key: str, positions: Sequence[str]) -> DataFrame:
     """Page text to player prices."""
-    return flatten_market(extract_script_json(df, html, variable, MARKET_DOCUMENT), key, positions)
+    return flatten_market(extract_script_json(df, html, variable, shape(MARKET_DOCUMENT)), key, positions)
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame, on: str) -> DataFrame:

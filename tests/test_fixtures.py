@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fieldtally.contracts import MARKET, assert_contract, conform_to
+from fieldtally.contracts import MARKET, assert_contract, conform_to, shape
 from fieldtally.functions import names, numeric
 from fieldtally.operators import joins, metrics, ordering
 from fieldtally.operators.aggregates import weighted_mean
@@ -204,8 +204,8 @@ def test_median_is_interpolated(spark, rows):
 
 
 def test_contract(spark):
-    good = conform_to(spark.createDataFrame([("p", 2020, "ffc")], "player_id string, season int, source string"), MARKET)
-    assert [f.dataType for f in good.schema] == [f.dataType for f in MARKET]
+    good = conform_to(spark.createDataFrame([("p", 2020, "ffc")], "player_id string, season int, source string"), shape(MARKET))
+    assert [f.dataType for f in good.schema] == [f.dataType for f in shape(MARKET)]
     assert assert_contract(good, ["player_id", "season", "source"]) is good
     with pytest.raises(ValueError):
         assert_contract(good.union(good), ["player_id", "season", "source"])

@@ -9,36 +9,9 @@ from fieldtally.contracts import PLAYS
 from fieldtally.operators import regression
 from fieldtally.operators.joins import match_entities
 from fieldtally.plans import league
-from fieldtally.plans.mega import position_columns, position_table
+from fieldtally.plans.mega import position_columns, position_table, write_position_tables
 from fieldtally.session import drop_scratch, scratch_path, settle, shared_dir
 from fieldtally.sources import readers, sinks
-from fieldtally.streaming.incremental import land_incremental, landed_periods, new_periods, reload_periods
-
-
-def test_incremental_landing_is_idempotent(spark, tmp_path):
-    path = str(tmp_path / "landed")
-    plays = tables.raw_plays(spark, SMALL).select("season", "week", "yardline_100")
-    land_incremental(plays.where("season <= 1996"), path)
-    first = spark.read.parquet(path).count()
-    land_incremental(plays, path)
-    total = spark.read.parquet(path).count()
-    land_incremental(plays, path)
-    assert first < total == spark.read.parquet(path).count() == plays.count()
-    reload_periods(plays.where("season = 1996").limit(3), path)
-    assert spark.read.parquet(path).where("season = 1996").count() == 3
-    assert spark.read.parquet(path).where("season = 1997").count() == plays.where("season = 1997").count()
-
-
-def test_landed_periods_come_from_folder_names(spark, tmp_path, plan):
-    path = str(tmp_path / "landed")
-    assert landed_periods(spark, path, "season") == []
-    land_incremental(spark.createDataFrame([(2019, 1), (2020, 2), (None, 3)], "season int, x int"), path)
-    assert landed_periods(spark, path, "season") == ["2019", "2020"]
-    source = str(tmp_path / "source")
-    spark.createDataFrame([(2019, 1), (2021, 2)], "season int, x int").write.partitionBy("season").parquet(source)
-    fresh = new_periods(spark.read.parquet(source), ["2019", "2020"], "season")
-    assert [tuple(r) for r in fresh.collect()] == [(2, 2021)]
-    assert "PartitionFilters: [isnotnull(season" in plan(fresh) and "Join" not in plan(fresh)
 
 
 def test_missing_columns_read_as_null(spark, tmp_path):
@@ -61,12 +34,31 @@ def test_write_upsert_goes_to_a_fresh_path(spark, tmp_path):
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "v2")).collect()} == {(1, 1), (2, 9)}
 
 
-def test_csv_tables_have_their_own_columns(spark, tmp_path):
+def test_csv_tables_have_their_own_columns_and_order(spark, tmp_path):
     wide = composed.mega(spark, SMALL, False)
-    cols = {"BUILDING": ["full_name", "season", "finish"], "MACHINERY": ["full_name", "ppg"]}
-    paths = sinks.write_csv_per_value(wide, str(tmp_path), "position", list(cols), lambda df, p: position_table(df, p, cols[p]))
-    for value, path in paths.items():
-        assert spark.read.option("header", True).csv(path).columns == cols[value]
+    cols = {"BUILDING": ["full_name", "season", "finish", "not_there", "player_id"], "MACHINERY": ["ppg", "full_name"]}
+    write_position_tables(wide, str(tmp_path), cols)
+    types = {f.name: f.dataType for f in wide.schema}
+    for value, wanted in cols.items():
+        got = sinks.read_table_of(spark, str(tmp_path), "position", value, types)
+        want = position_table(wide, value, cols[value])
+        assert got.columns == want.columns == [c for c in wanted if c != "not_there"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    folder = tmp_path / "position=BUILDING"
+    lines = [line for part in sorted(folder.glob("part-*")) for line in part.read_text().splitlines()]
+    assert (folder / "_header").read_text() == "full_name,season,finish,player_id\n"
+    seasons = [int(line.split(",")[1]) for line in lines]
+    assert seasons == sorted(seasons) and len(set(seasons)) > 2
+    assert sorted(p.name for p in tmp_path.glob("position=*")) == ["position=BUILDING", "position=MACHINERY"]
+
+
+def test_csv_tables_keep_odd_text(spark, tmp_path):
+    rows = [("a", 'x,"y"', None, 1), ("a", "", "q", 2), ("b", "é", "z", 3), ("other", "n", "n", 4)]
+    df = spark.createDataFrame(rows, "position string, t string, u string, k int")
+    sinks.write_tables_by_value(df, str(tmp_path), "position", {"a": ["k", "t", "u"], "b": ["t"]})
+    types = {f.name: f.dataType for f in df.schema}
+    assert sorted(map(tuple, sinks.read_table_of(spark, str(tmp_path), "position", "a", types).collect())) == [(1, 'x,"y"', None), (2, "", "q")]
+    assert [tuple(r) for r in sinks.read_table_of(spark, str(tmp_path), "position", "b", types).collect()] == [("é",)]
 
 
 def test_position_columns_follow_the_league_lists():
