@@ -9,12 +9,20 @@ similarity (Ertl, 2018). A process stops as soon as it has passed the latest
 component of its document.
 
 40 bands of 7 components propose candidates: a pair at similarity 0.8 shares
-a band with probability 0.9999. Every candidate is verified on the texts.
+a band with probability 0.9999. Every candidate is verified on the texts, or
+ruled out by what is known of both: each member of a bucket whose documents
+are not one class yet is compared with the bucket's hub, the member with most
+company. With x = hub + (what x adds) - (what x lacks), the shared part of x
+and y is exact: hub - lacks(x) - lacks(y) + what they add or lack alike. So x
+and y are similar only if they add and lack enough alike, and bitmaps of what
+each adds and lacks bound that from above. No pair that could be similar is
+passed over, and no bucket is dropped, cut or taken apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,10 +34,8 @@ from fieldtally.llm.wordhash import Tokens, mix, run_inside, runs, sliced
 from fieldtally.session import settle
 
 SHINGLE, BANDS, BAND_ROWS, SIMILAR = 5, 40, 7, 0.8
-#: Up to this size, all pairs of a bucket between different classes are verified; beyond, leaders and finer buckets come first.
-SMALL = 64
-#: A large bucket is split by agreement in one of the next so many bands.
-FINER = 3
+#: Words of the bitmap of what a document adds to its hub or lacks of it.
+WORDS_64 = 8
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,17 +91,55 @@ def bag_minhash(of: np.ndarray, h: np.ndarray, weight: np.ndarray, n_texts: int,
     return best.reshape(n_texts, size)
 
 
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def bags(texts: list[bytes]) -> list[Bag]:
+    """Distinct shingles and their counts, in order, of each text."""
+    of, h, _ = shingles(texts)
+    of, h, w = counted(of, h)
+    cut = np.searchsorted(of, np.arange(len(texts) + 1))
+    return [(h[a:b], w[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+
+
+def similarity(a: Bag, b: Bag) -> float:
+    """Multiset Jaccard similarity."""
+    _, left, right = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    shared = np.minimum(a[1][left], b[1][right]).sum()
+    return float(shared / max(1, a[1].sum() + b[1].sum() - shared))
+
+
 def weighted_jaccard(a: bytes, b: bytes) -> float:
     """Multiset Jaccard similarity of the shingles of two texts."""
-    of, h, _ = shingles([a, b])
-    of, h, w = counted(of, h)
-    _, left, right = np.intersect1d(h[of == 0], h[of == 1], assume_unique=True, return_indices=True)
-    shared = np.minimum(w[of == 0][left], w[of == 1][right]).sum()
-    return float(shared / max(1, w.sum() - shared))
+    return similarity(*bags([a, b]))
+
+
+def difference(hub: Bag, bag: Bag) -> tuple[int, int, np.ndarray]:
+    """What ``bag`` lacks of ``hub`` and adds to it, as counts, and a bitmap of both."""
+    _, left, right = np.intersect1d(hub[0], bag[0], assume_unique=True, return_indices=True)
+    lacks, adds = hub[1].copy(), bag[1].copy()
+    both = np.minimum(hub[1][left], bag[1][right])
+    lacks[left] -= both
+    adds[right] -= both
+    marks = np.concatenate([mix(hub[0][lacks > 0]), mix(bag[0][adds > 0] + _GOLD)])
+    flags = np.zeros(64 * WORDS_64, bool)
+    flags[marks % np.uint64(len(flags))] = True
+    return int(lacks.sum()), int(adds.sum()), np.packbits(flags).view(np.int64)
+
+
+def _paired(frames: Iterator[pd.DataFrame], limit: int = 2_000_000) -> Iterator[tuple[pd.DataFrame, list[Bag], list[Bag]]]:
+    """Cut batches of text pairs (t_a, t_b) by bytes; yields the piece and the bags of both sides."""
+    for frame in frames:
+        a, b = ([t.encode("utf-8", "surrogatepass") for t in frame[c]] for c in ("t_a", "t_b"))
+        size = np.cumsum([len(x) + len(y) for x, y in zip(a, b)]) // limit
+        edges = np.r_[0, np.flatnonzero(np.diff(size)) + 1, len(frame)] if len(frame) else []
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            found = bags(a[lo:hi] + b[lo:hi])
+            yield frame.iloc[lo:hi], found[: hi - lo], found[hi - lo :]
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, k1 and k2 (hash of the word sequence), n (shingles) and bands (empty without words) of (doc_id, text)."""
+    """row, k1 and k2 (hash of the word sequence), n (shingles) and bands (empty without words) of (row, text)."""
 
     def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = BANDS * BAND_ROWS
@@ -111,21 +155,19 @@ def signatures(docs: DataFrame) -> DataFrame:
             total = lambda x: np.diff(np.r_[np.uint64(0), np.cumsum(x, dtype=np.uint64)][tokens.bounds])
             keys = [mix(total(mix(tokens.h + place))), mix(total(mix(tokens.h * np.uint64(3) ^ place)))]
             yield pd.DataFrame({
-                "doc_id": frame["doc_id"], "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64), "n": n,
+                "row": frame["row"], "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64), "n": n,
                 "bands": [b if k else [] for b, k in zip(bands, n)],
             })
 
-    return docs.mapInPandas(part, "doc_id long, k1 long, k2 long, n long, bands array<long>")
+    return docs.mapInPandas(part, "row long, k1 long, k2 long, n long, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """Those of the distinct pairs (a, b, n_a, n_b) whose texts are similar, as (a, b)."""
 
     def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yes = [weighted_jaccard(x.encode("utf-8", "surrogatepass"), y.encode("utf-8", "surrogatepass")) >= similar
-                   for x, y in zip(frame["t_a"], frame["t_b"])]
-            yield frame.loc[yes, ["a", "b"]]
+        for frame, a, b in _paired(frames):
+            yield frame.loc[[similarity(x, y) >= similar for x, y in zip(a, b)], ["a", "b"]]
 
     # The smaller bag must hold this share of the larger one.
     able = pairs.where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (similar - 1e-9)).select("a", "b").distinct()
@@ -133,6 +175,52 @@ def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     return settle(able.join(side("a"), "a").join(side("b"), "b").mapInPandas(part, "a long, b long"), "links")
 
 
+def _from_hubs(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """hub, id, n, size (of the hub), mass and cost of the difference, and its bitmap, of the distinct (hub, id, n)."""
+    part_of = similar / (1 + similar)
+
+    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame, hubs, members in _paired(frames):
+            rows = [difference(*pair) for pair in zip(hubs, members)]
+            lacks, adds = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
+            bits = np.stack([r[2] for r in rows])
+            yield pd.DataFrame({
+                "hub": frame["a"], "id": frame["b"], "n": frame["n"], "size": [int(w.sum()) for _, w in hubs], "mass": lacks + adds,
+                "cost": (1 - part_of) * lacks + part_of * adds, **{f"d{k}": bits[:, k] for k in range(WORDS_64)},
+            })
+
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t_{c}"))
+    both = pairs.select(F.col("hub").alias("a"), F.col("id").alias("b"), "n").distinct().join(side("a"), "a").join(side("b"), "b")
+    kinds = ", ".join(f"d{k} long" for k in range(WORDS_64))
+    return settle(both.mapInPandas(part, f"hub long, id long, n long, size long, mass long, cost double, {kinds}"), "differences")
+
+
+def _possible(differences: DataFrame, classes: _Classes, similar: float) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of documents with a common hub, in different components, that may still be similar.
+
+    With p = similar / (1 + similar), x and y are similar if and only if what
+    they add or lack alike is at least cost(x) + cost(y) + (2 p - 1) size, for
+    cost = (1 - p) lacks + p adds. It is at most what x adds or lacks, less
+    one for every bit of x that y has not.
+    """
+    name = lambda c, by: classes.comp.select(F.col("id").alias(by), F.col("comp").alias(c))
+    known = settle(
+        differences.join(name("found", "id"), "id", "left").join(name("hub_found", "hub"), "hub", "left")
+        .withColumns({"comp": F.coalesce("found", "id"), "hub_comp": F.coalesce("hub_found", "hub")}).drop("found", "hub_found"), "known",
+    )
+    cols = ["id", "n", "comp", "mass", "cost", *[f"d{k}" for k in range(WORDS_64)]]
+    side = lambda df, c: df.select("hub", "size", "hub_comp", *[F.col(x).alias(f"{c}_{x}") for x in cols])
+    # In every pair of different components, one is not the hub's.
+    left = side(known.where("comp <> hub_comp"), "a")
+    right = side(known, "b").withColumnsRenamed({"hub": "hub_b", "size": "size_b", "hub_comp": "hub_comp_b"})
+    missing = lambda x, y: reduce(lambda p, q: p + q, [F.bit_count(F.col(f"{x}_d{k}").bitwiseAND(F.bitwise_not(F.col(f"{y}_d{k}")))) for k in range(WORDS_64)])
+    needed = F.col("a_cost") + F.col("b_cost") + F.lit((similar - 1) / (1 + similar)) * F.col("size") - 1e-6
+    alike = (F.col("a_mass") - missing("a", "b") >= needed) & (F.col("b_mass") - missing("b", "a") >= needed)
+    once = (F.col("b_comp") == F.col("hub_comp")) | (F.col("a_id") < F.col("b_id"))
+    met = left.join(right, (F.col("hub") == F.col("hub_b")) & (F.col("a_comp") != F.col("b_comp")) & once & alike)
+    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, comp) for every node of the links (a, b): comp is the smallest id of its component.
 
@@ -159,6 +247,7 @@ class _Classes:
         self.texts, self.similar, self.comp = texts, similar, None
 
     def test(self, pairs: DataFrame) -> None:
+        """Verify pairs and let their links merge components."""
         found = _verified(pairs, self.texts, self.similar)
         if self.comp is None:
             self.comp = components(found)
@@ -181,92 +270,93 @@ class _Classes:
         return settle(rows.join(mixed.where("lo <> hi").drop("lo", "hi"), "bucket"), "open")
 
 
-def _across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members in different components."""
-    a = left.select("bucket", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("comp").alias("cx"))
-    b = right.select("bucket", F.col("id").alias("y"), F.col("n").alias("n_y"), F.col("comp").alias("cy"))
-    one = a.join(b, "bucket").where("cx <> cy")
-    turned = F.col("x") > F.col("y")
-    pick = lambda p, q: F.when(turned, F.col(q)).otherwise(F.col(p))
-    return one.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("n_x", "n_y").alias("n_a"), pick("n_y", "n_x").alias("n_b"))
+def _with_hubs(open_: DataFrame) -> DataFrame:
+    """The members of open buckets with each bucket's hub: the member whose buckets hold most members in all."""
+    company = open_.groupBy("id").agg(F.sum("size").alias("company"))
+    hubs = open_.select("bucket", "id", "comp").join(company, "id").groupBy("bucket").agg(F.max(F.struct("company", (-F.col("id")).alias("less"), "comp")).alias("top"))
+    named = hubs.select("bucket", (-F.col("top.less")).alias("hub"), F.col("top.comp").alias("hub_comp"))
+    return settle(open_.join(named, "bucket").where("id <> hub"), "hubs")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """doc_id and class_id of every row: documents linked, directly or in steps, by a similarity of ``similar`` or more
-    share a class, named by its smallest id.
-
-    Equal word sequences are one node from the start, so copies never make
-    pairs. In each bucket, all members are first compared with its smallest
-    id; where that joins all of them, nothing is left to do. Otherwise pairs of
-    members in different components are compared: all of them in buckets of up
-    to 64; larger ones are first split by a second band, which similar pairs
-    share too, and what is still large and open is compared part by part.
-    No bucket is dropped or cut.
-
-    Ids are whole numbers. Rows without an id have class NULL and link to
-    nothing; documents without words (NULL, empty) are classes of their own;
-    rows that repeat an id are one document; further columns play no part.
-    """
-    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    known = named.where(F.col("doc_id").isNotNull())
-    sigs = settle(signatures(known), "signatures")
-    exact = settle(sigs.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "exact")
-    same_text = sigs.select("k1", "k2", "doc_id", "n", "bands").join(
-        exact.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), "rep"),
-        (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("e1")) & (F.col("k2") == F.col("e2")), "left_semi",
-    )
-    nodes = same_text.select(F.col("doc_id").alias("id"), "n", "bands")
+def _linked(nodes: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
+    """(id, comp) of the nodes (id, n, bands) that are similar to another one."""
     buckets = nodes.select("id", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("lead"), F.max("id").alias("last")).where("lead.id <> last")
     members = settle(buckets.join(shared.select("bucket", "lead"), "bucket"), "members")
-    texts = settle(
-        known.join(members.select(F.col("id").alias("m_id")).distinct(), F.col("doc_id") == F.col("m_id"), "left_semi")
-        .select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "texts",
-    )
+    known = members.select(F.col("id").alias("row")).distinct()
+    texts = settle(rows.join(known, "row", "left_semi").select(F.col("row").alias("id"), "text"), "texts")
     classes = _Classes(texts, similar)
-    # Each member against the smallest of its leaders, then against the others that are still in another component.
+    # First the smallest of each node's leaders, which joins most of what belongs together.
     nearest = members.where("id <> lead.id").groupBy("id").agg(F.min("lead").alias("lead"), F.min("n").alias("n"))
     classes.test(nearest.select(F.col("lead.id").alias("a"), F.col("id").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b")))
-    open_ = classes.marked(members)
-    classes.test(_across(open_.where("id = lead.id"), open_).distinct())
-    left = classes.marked(open_.drop("lead"))
-    little = left.where(F.col("size") <= SMALL)
-    large = left.where(F.col("size") > SMALL)
-    place = F.array_position("bands", F.col("bucket")) - 1
-    later = lambda k: F.get("bands", ((place + k) % BANDS).cast("int"))
-    finer = F.array(*[F.xxhash64(F.least("bucket", later(k)), F.greatest("bucket", later(k))) for k in range(1, FINER + 1)])
-    split = large.select("bucket", "id", "n").join(nodes.select("id", "bands"), "id").select("id", "n", F.explode(finer).alias("bucket")).distinct()
-    parts = classes.marked(split)
-    small_parts = parts.where(F.col("size") <= SMALL)
-    # In large buckets, the member with the smallest hash, another one in each bucket, leads as well.
-    heads = large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id"), "id", "n", "comp")).alias("head"))
-    led = _across(heads.select("bucket", "head.id", "head.n", "head.comp"), large)
-    rest = parts.where(F.col("size") > SMALL).select("bucket", "id", "n")
-    classes.test(_across(little, little).union(_across(small_parts, small_parts)).union(led).distinct())
-    # Leaders of what is still large and open, against all the others: first few, at last all that have not led.
-    done = 0
-    for upto in (1, 8, 64):
-        rest = classes.marked(rest)
-        if rest.isEmpty():
-            break
-        turn = F.pmod(F.xxhash64("id"), F.lit(64))
-        classes.test(_across(rest.where((turn >= done) & (turn < upto)), rest).distinct())
-        done = upto
-    named_class = sigs.select("doc_id", "k1", "k2").join(exact, ["k1", "k2"], "left").join(
-        classes.comp.select(F.col("id").alias("rep"), "comp"), "rep", "left"
+    # In the buckets that hold several components still, the hub against members of others.
+    open_ = classes.marked(members.drop("lead"))
+    hubs = _with_hubs(open_)
+    size_of = open_.select(F.col("id").alias("hub"), F.col("n").alias("hub_n")).distinct()
+    classes.test(hubs.where("comp <> hub_comp").select("hub", "id", "n").distinct().join(size_of, "hub").select(
+        F.col("hub").alias("a"), F.col("id").alias("b"), F.col("hub_n").alias("n_a"), F.col("n").alias("n_b")))
+    # At last every pair of the buckets still open that its two differences from the hub don't rule out.
+    rest = _with_hubs(classes.marked(open_))
+    classes.test(_possible(_from_hubs(rest.select("hub", "id", "n"), texts, similar), classes, similar))
+    return classes.comp
+
+
+_ROW = "__row"
+
+
+def _classed(docs: DataFrame, doc_id: str, text: str, similar: float) -> tuple[DataFrame, DataFrame]:
+    """(``docs`` with a number for each row, written once; row, id, class_id and head): the head is the row of the
+    class with the smallest id, rows without one last."""
+    rows = settle(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
+    named = rows.select(F.col(_ROW).alias("row"), F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    sigs = settle(signatures(named.select("row", "text")), "signatures")
+    keyed = sigs.select("row", "k1", "k2", "n").join(named.select("row", "id"), "row")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")
+    # Equal word sequences are one node, so copies never make pairs.
+    exact = settle(keyed.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min(place).alias("head")), "exact")
+    heads = exact.select(F.col("node").alias("row"))
+    nodes = sigs.join(heads, "row", "left_semi").select(F.col("row").alias("id"), "n", "bands")
+    comp = _linked(nodes, named, similar)
+    of_node = comp.join(exact.select(F.col("node").alias("id"), "head"), "id")
+    of_comp = of_node.groupBy("comp").agg(F.min("head").alias("first"))
+    linked = of_node.join(of_comp, "comp").select(F.col("id").alias("node"), "first")
+    classes = exact.join(linked, "node", "left").select("k1", "k2", F.coalesce("first", "head").alias("first"))
+    found = keyed.join(classes, ["k1", "k2"], "left")
+    return rows, found.select(
+        "row", "id", F.when(F.col("n") > 0, F.col("first.id")).otherwise(F.col("id")).alias("class_id"),
+        F.when(F.col("n") > 0, F.col("first.row")).otherwise(F.col("row")).alias("head"),
     )
-    result = named_class.select("doc_id", F.coalesce("comp", "rep", "doc_id").alias("class_id"))
-    lost = named.where(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id"))
-    return result.union(lost)
-
-
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each class, the one with the smallest id; rows without an id stay."""
-    classes = near_duplicates(docs, doc_id, **options)
-    gone = settle(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct(), "copies")
-    kept = docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
-    named = kept.where(F.col(doc_id).isNotNull())
-    return named.dropDuplicates([doc_id]).union(kept.where(F.col(doc_id).isNull()))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """doc_id and class_id of every row: documents linked, directly or in steps, by a similarity of ``similar`` or more
+    share a class, named by its smallest id.
+
+    Ids are whole numbers. Rows that repeat an id are one document with
+    several texts: each of them links, and they share the class. A row without
+    an id is in the class of its text; a class without any id is NULL.
+    Documents without words (NULL, empty) are classes of their own. Further
+    columns play no part.
+    """
+    _, found = _classed(docs.select(doc_id, text), doc_id, text, similar)
+    found = settle(found.select("id", "class_id"), "classes")
+    several = found.where("id IS NOT NULL").groupBy("id").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo <> hi")
+    if not several.isEmpty():
+        links = found.join(several.select("id", "lo"), "id").where("lo <> class_id").select(F.col("lo").alias("a"), F.col("class_id").alias("b")).distinct()
+        into = components(links).select(F.col("id").alias("class_id"), F.col("comp").alias("then"))
+        found = found.join(into, "class_id", "left").select("id", F.coalesce("then", "class_id").alias("class_id"))
+    return found.select(F.col("id").alias("doc_id"), "class_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """``docs`` with one row of each class of similar texts, the one with the smallest id (rows without an id last).
+
+    Every row stands for itself here: different texts under one id are kept,
+    each in its own class, and so are all rows without words.
+    """
+    rows, found = _classed(docs, doc_id, text, similar)
+    gone = settle(found.where("row <> head").select(F.col("row").alias(_ROW)), "copies")
+    return rows.join(gone, _ROW, "left_anti").select(*docs.columns)
 
 
 @query("op3_neardup")
