@@ -1,18 +1,19 @@
 """Exact top-k by integer inner product over an impact-ordered index, score at a time.
 
-Vectors are cut into blocks. A block's index keeps, for each dimension, its
-vectors in descending order of impact (the quantised absolute component) with
-the ends of the segments of equal impact. A query processes the segments of
-all dimensions in descending order of the most they can add to a score, in
-rounds. After a round, what is still unread bounds every vector's score from
-both sides; the block is done as soon as no more vectors can be among the
-best k than are worth rescoring, and these are rescored exactly.
+Vectors are cut into blocks. A block's index lists its postings (vector,
+dimension) in descending order of impact, the quantised absolute component; a
+segment holds the postings of equal impact. All queries of a task go through a
+block together: the segments down to some impact are added to the scores in
+one matrix product. What is still unread of a dimension is at most its largest
+component beyond, which bounds every score from both sides. A query is done
+with a block once no more vectors can reach its threshold than are worth
+rescoring, and these are rescored exactly. The threshold is the k-th best
+lower bound in the block, or the k-th best score of the blocks before it if
+that is higher.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,14 +22,14 @@ from pyspark.sql import functions as F
 from fieldtally.llm.common import query, table
 from fieldtally.session import settle
 
-#: Vectors per block of the index, queries per block of queries.
-BLOCK, QUERIES = 4096, 256
-#: A segment holds components within this much of each other.
-STEP = 8
+#: Vectors per block of the index, blocks and queries that meet in one task.
+BLOCK, BLOCKS, QUERIES = 2048, 4, 512
+#: A segment holds components that differ by less than this.
+STEP = 1
 #: A block is rescored when no more vectors are left than this per wanted result, or than this part of the block.
-RESCORE, RESCORE_SHARE = 8, 16
+RESCORE, RESCORE_SHARE = 8, 32
 #: Shares of the postings after which the bounds are looked at.
-ROUNDS = (0.15, 0.3, 0.45, 0.6, 0.8, 1.0)
+ROUNDS = (0.95, 1.0)
 
 
 def quantised(vector: Column) -> Column:
@@ -38,78 +39,85 @@ def quantised(vector: Column) -> Column:
     return F.when(sound, F.transform(as_double, lambda x: F.floor(x * 256).cast("long")))
 
 
+def impact_order(x: np.ndarray) -> np.ndarray:
+    """Places of the postings in ``x`` (vectors by dimensions, row by row), highest impact first."""
+    return np.argsort(-(np.abs(x) // STEP).ravel(), kind="stable").astype(np.int32)
+
+
 class ImpactIndex:
-    """Impact-ordered postings of the rows of ``x`` (vectors by dimensions, whole numbers)."""
-
-    def __init__(self, x: np.ndarray):
-        n, dims = x.shape
-        self.x = x
-        impact = np.abs(x) // STEP
-        order = np.argsort(-impact, axis=0, kind="stable")
-        ranked = np.take_along_axis(impact, order, 0)
-        # One list per dimension: the vectors in it, their components, and each vector's place in it.
-        self.rows, self.parts = np.ascontiguousarray(order.T), np.ascontiguousarray(np.take_along_axis(x, order, 0).T.astype(float))
-        self.place = np.empty((n, dims), np.int32)
-        np.put_along_axis(self.place, order, np.arange(n, dtype=np.int32)[:, None], 0)
-        # Segments of equal impact, in each dimension in descending order.
-        dim, end, most = [], [], []
-        for d in range(dims):
-            cut = np.r_[np.flatnonzero(np.diff(ranked[:, d])) + 1, n]
-            dim.append(np.full(len(cut), d))
-            end.append(cut)
-            most.append(ranked[cut - 1, d] * STEP + STEP - 1)
-        self.dim, self.end, self.most = np.concatenate(dim), np.concatenate(end), np.concatenate(most).astype(float)
-        self.count = np.bincount(self.dim, minlength=dims)
-        self.first = np.cumsum(self.count) - self.count
-        self.length = np.diff(self.end, prepend=0)
-        self.length[self.first] = self.end[self.first]
-
-    def top(self, q: np.ndarray, k: int, ids: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of the k best vectors for ``q`` other than ``own``: higher scores first, then smaller ids."""
-        n, dims = self.x.shape
-        force = np.abs(q).astype(float)
-        turns = np.argsort(-force[self.dim] * self.most, kind="stable")
-        postings = np.cumsum(self.length[turns])
-        score, upto, done = np.zeros(n), np.zeros(dims, np.int64), 0
-        possible = ids != own
-        # Sums of doubles may be off by this much; the bounds leave room for it.
-        slack = 1e-12 * float(force @ self.most[self.first])
-        for end in np.unique(np.searchsorted(postings, postings[-1] * np.array(ROUNDS)) + 1):
-            fresh = turns[done:end]
-            done, was = end, upto.copy()
-            np.maximum.at(upto, self.dim[fresh], self.end[fresh])
-            grown = np.flatnonzero(upto > was)
-            rows = np.concatenate([self.rows[d, was[d] : upto[d]] for d in grown])
-            score += np.bincount(rows, np.concatenate([self.parts[d, was[d] : upto[d]] * q[d] for d in grown]), n)
-            if k > possible.sum():
-                break
-            # What is unread of a vector adds at most what the next segments of its unread dimensions can.
-            read = np.bincount(self.dim[turns[:end]], minlength=dims)
-            following = self.most[np.minimum(self.first + read, len(self.most) - 1)]
-            reach = np.where(read < self.count, force * following, 0.0)
-            unread = (self.place >= upto).astype(np.float32) @ reach.astype(np.float32) * (1 + 1e-5) + slack if reach.any() else slack
-            low = np.where(possible, score - unread, -np.inf)
-            possible &= score + unread >= np.partition(low, n - k)[n - k]
-            if possible.sum() <= max(k * RESCORE, n // RESCORE_SHARE):
+    """Impact-ordered postings of a block, cut into ranges of whole segments."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, order: np.ndarray):
+        self.ids, self.x = ids, x
+        impact = np.abs(x).ravel()[order] // STEP
+        cuts = sorted({int(np.searchsorted(-impact, -impact[max(0, int(np.ceil(len(order) * share)) - 1)], "right")) for share in ROUNDS})
+        self.most = float(np.abs(x).max(initial=0))
+        # Single precision where no product overflows; the bounds leave room for its rounding.
+        kind = np.float32 if self.most < 1e15 else np.float64
+        self.rounding = (x.shape[1] + 4) * (2 * np.finfo(kind).eps)
+        unread = np.abs(x).astype(float)
+        self.ranges, done = [], 0
+        for cut in cuts:
+            here = np.zeros(x.size, kind)
+            here[order[done:cut]] = x.ravel()[order[done:cut]]
+            unread.ravel()[order[done:cut]] = 0.0
+            # One range's postings as a matrix, and the most that any posting after it holds, by dimension.
+            self.ranges.append((np.ascontiguousarray(here.reshape(x.shape).T), unread.max(0)))
+            done = cut
+
+    def top(self, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the rows and scores of its ``k`` best vectors with a score of at least ``floor``: higher scores
+        first, then smaller ids. Vectors with the query's ``own`` id are left out."""
+        n, kind = len(self.x), self.ranges[0][0].dtype
+        out = [(np.empty(0, np.int64),) * 2] * len(q)
+        force, asked = np.abs(q).astype(float), q.astype(kind)
+        slack = self.rounding * force.sum(1) * self.most
+        where = np.searchsorted(self.ids, own)
+        open_, score = np.arange(len(q)), np.zeros((len(q), n), kind)
+        for i, id_ in enumerate(own):  # ids ascend, so a query's own rows are neighbours
+            score[i, where[i] : np.searchsorted(self.ids, id_, "right")] = -np.inf
+        for turn, (part, unread) in enumerate(self.ranges):
+            score += asked[open_] @ part
+            reach = force[open_] @ unread + slack[open_]
+            # Without a threshold from blocks before, the k-th best lower bound of this one.
+            threshold = floor[open_].astype(float)
+            new = np.flatnonzero(np.isneginf(threshold))
+            if len(new) and n >= k:
+                threshold[new] = np.partition(score[new], n - k, axis=1)[:, n - k].astype(float) - reach[new]
+            threshold = np.maximum(threshold - reach, np.finfo(kind).min)
+            possible = score >= threshold.astype(kind)[:, None]
+            few = possible.sum(1) <= max(k * RESCORE, n // RESCORE_SHARE)
+            if turn == len(self.ranges) - 1:
+                few[:] = True
+            done = np.flatnonzero(few)
+            place, rows = np.nonzero(possible[done])
+            for i, rows in zip(open_[done], np.split(rows, np.searchsorted(place, np.arange(1, len(done))))):
+                exact = self.x[rows] @ q[i]
+                if len(rows) > 4 * k:
+                    good = np.flatnonzero(exact >= np.partition(exact, len(rows) - k)[len(rows) - k])
+                    rows, exact = rows[good], exact[good]
+                best = np.lexsort((self.ids[rows], -exact))[:k]
+                out[i] = rows[best], exact[best]
+            open_, score = open_[~few], score[~few]
+            if not len(open_):
                 break
-        rows = np.flatnonzero(possible)
-        exact = self.x[rows] @ q
-        best = np.lexsort((ids[rows], -exact))[:k]
-        return rows[best], exact[best]
+        return out
 
 
-def _packed(rows: DataFrame, per_block: int, block: str) -> DataFrame:
-    """Blocks of about ``per_block`` vectors: ids and components as packed 64-bit numbers."""
-    n = rows.count()
-    blocks = max(1, -(-n // per_block))
+def _packed(rows: DataFrame, blocks: DataFrame, kind: str) -> DataFrame:
+    """Blocks of vectors (width, block, ids, xs, places): ids, components and impact order as packed numbers."""
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id", kind="stable")
-        x = np.stack(frame["x"].to_numpy())
-        return pd.DataFrame({block: [int(frame[block].iloc[0])], "ids": [frame["id"].to_numpy(np.int64).tobytes()], "xs": [x.astype(np.int64).tobytes()]})
+        x = np.stack(frame["x"].to_numpy()).astype(np.int64)
+        return pd.DataFrame({
+            "width": [int(frame["width"].iloc[0])], "block": [int(frame["block"].iloc[0])],
+            "ids": [frame["id"].to_numpy(np.int64).tobytes()], "xs": [x.tobytes()], "places": [impact_order(x).tobytes()],
+        })
 
-    dealt = rows.withColumn(block, F.pmod(F.xxhash64("id", "x"), F.lit(blocks)))
-    return dealt.groupBy(block).applyInPandas(pack, f"{block} long, ids binary, xs binary")
+    dealt = rows.join(blocks, "width").withColumn("block", F.pmod(F.xxhash64("id", "x"), F.col(kind)))
+    return dealt.select("width", "block", "id", "x").groupBy("width", "block").applyInPandas(
+        pack, "width int, block long, ids binary, xs binary, places binary")
 
 
 def top_k(
@@ -117,44 +125,59 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k best vectors of every query, but for those of its own id.
 
-    Blocks of queries meet blocks of vectors on the number of the vector
-    block, so nothing is broadcast, and a task holds one pair of blocks. Ties
-    go to the smaller id. Vectors (and queries) without id, NULL, with NULL or
-    non-finite components, or of another length than most of the table's first
-    block take no part: lengths are never mixed. Repeated rows are vectors of
-    their own; further columns play no part.
+    Some blocks of vectors and some queries meet in a task, so nothing is
+    broadcast and no task holds more. Ties go to the smaller id. Vectors and
+    queries without id, NULL, empty, or with NULL or non-finite components
+    take no part; a vector only meets queries of its own length. Repeated rows
+    are vectors of their own, and queries of their own: each has its ranks.
+    Further columns play no part.
     """
     clean = lambda df: settle(
-        df.select(F.col(vec_id).cast("long").alias("id"), quantised(F.col(vector)).alias("x")).where("id IS NOT NULL AND x IS NOT NULL AND size(x) > 0"),
+        df.select(F.col(vec_id).cast("long").alias("id"), quantised(F.col(vector)).alias("x"))
+        .where("id IS NOT NULL AND x IS NOT NULL AND size(x) > 0")
+        .select("id", "x", F.size("x").alias("width"), F.monotonically_increasing_id().alias("row")),
         "vectors",
     )
     v, q = clean(vectors), clean(queries)
-    result = "query_id long, vec_id long, score long"
-    widths = [r[0] for r in v.select(F.size("x").alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(1).collect()]
-    if not widths:
+    ceiling = lambda n, size: F.ceil(F.col(n) / size).cast("long")
+    sizes = v.groupBy("width").agg(F.count(F.lit(1)).alias("n")).join(q.groupBy("width").agg(F.count(F.lit(1)).alias("m")), "width")
+    plan = settle(sizes.select("width", ceiling("n", block).alias("v_blocks"), ceiling("n", block * BLOCKS).alias("v_groups"), ceiling("m", QUERIES).alias("q_groups")), "plan")
+    cells = plan.agg(F.sum(F.col("v_groups") * F.col("q_groups"))).first()[0]
+    if not cells:
         return v.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    width = widths[0]
-    v, q = (x.where(F.size("x") == width) for x in (v, q))
-    index = settle(_packed(v, block, "v_block"), "index")
-    asked = _packed(q, QUERIES, "q_block").select(F.col("ids").alias("q_ids"), F.col("xs").alias("q_xs"))
-    last = index.agg(F.max("v_block")).first()[0] or 0
-    # Every block of queries goes to every block of vectors: the stated query set against all rows.
-    spread = asked.withColumn("v_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))))
-
-    def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        built: tuple = (None, None, None)
-        for frame in frames:
-            for number, ids, xs, q_ids, q_xs in zip(*(frame[c] for c in ("v_block", "ids", "xs", "q_ids", "q_xs"))):
-                if built[0] != number:
-                    built = (number, np.frombuffer(ids, np.int64), ImpactIndex(np.frombuffer(xs, np.int64).reshape(-1, width)))
-                found = []
-                for own, x in zip(np.frombuffer(q_ids, np.int64), np.frombuffer(q_xs, np.int64).reshape(-1, width)):
-                    rows, score = built[2].top(x, k, built[1], own)
-                    found.append(pd.DataFrame({"query_id": own, "vec_id": built[1][rows], "score": score}))
-                yield pd.concat(found)
-
-    partial = spread.join(index, "v_block").mapInPandas(answer, result)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    index = settle(_packed(v.select("id", "x", "width"), plan.select("width", "v_blocks"), "v_blocks"), "index")
+    up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    # The stated query set against all rows: every group of queries meets every group of blocks of its length.
+    asked = q.join(plan, "width").withColumn("q_group", F.pmod(F.xxhash64("row"), F.col("q_groups"))).withColumn("v_group", up_to("v_groups"))
+    held = index.join(plan, "width").withColumn("v_group", F.pmod(F.col("block"), F.col("v_groups"))).withColumn("q_group", up_to("q_groups"))
+    cell = ["width", "q_group", "v_group"]
+
+    def answer(asking: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(asking) and len(blocks):
+            width = int(asking["width"].iloc[0])
+            x, own, rows = np.stack(asking["x"].to_numpy()).astype(np.int64), asking["id"].to_numpy(np.int64), asking["row"].to_numpy(np.int64)
+            # The scores of a query's k best so far; the k-th of them is its threshold for the blocks to come.
+            kept = np.full((len(x), k), -np.inf)
+            for ids, xs, places in zip(*(blocks.sort_values("block")[c] for c in ("ids", "xs", "places"))):
+                index = ImpactIndex(np.frombuffer(ids, np.int64), np.frombuffer(xs, np.int64).reshape(-1, width), np.frombuffer(places, np.int32))
+                for i, (at, score) in enumerate(index.top(x, own, k, kept.min(1))):
+                    if len(at):
+                        found.append((np.full(len(at), rows[i]), np.full(len(at), own[i]), index.ids[at], score))
+                        kept[i] = np.sort(np.r_[kept[i], score])[-k:]
+        parts = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.int64)] * 4
+        # Of what the blocks gave, only the best of the task go on.
+        order = np.lexsort((parts[2], -parts[3], parts[0]))
+        parts = [c[order] for c in parts]
+        starts = np.flatnonzero(np.r_[True, parts[0][1:] != parts[0][:-1]]) if len(order) else np.empty(0, np.int64)
+        place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+        return pd.DataFrame({name: c[place < k] for name, c in zip(("row", "query_id", "vec_id", "score"), parts)})
+
+    # Few rows, much work for each: the number of tasks follows the number of cells.
+    dealt = lambda df, *cols: df.select(*cell, *cols).repartition(int(cells), *cell).groupBy(*cell)
+    partial = dealt(asked, "row", "id", "x").cogroup(dealt(held, "block", "ids", "xs", "places")).applyInPandas(
+        answer, "row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

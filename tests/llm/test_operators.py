@@ -241,21 +241,71 @@ def test_wavelet_odd(odd, empty):
     assert wavelet.read_documents(wavelet.encoded_shards(empty, path)).count() == 0
 
 
-def test_topk_odd(spark):
+def best_of(rows, queries, k=5):
+    """Brute force: (query_id, rank, vec_id, score) of every query row, vectors of its own length only."""
+    sound = lambda x: x is not None and len(x) and None not in x and np.isfinite(x).all()
+    whole = [(i, np.floor(256 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in rows if i is not None and sound(x)]
+    out = []
+    for q, x in [(i, np.floor(256 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in queries if i is not None and sound(x)]:
+        scores = sorted((-int(x @ y), i) for i, y in whole if i != q and len(y) == len(x))[:k]
+        out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [16, 2048])
+def test_topk_odd(spark, block):
     rng = np.random.default_rng(2)
     rows = [(int(i), [float(v) for v in rng.normal(0, 0.3, 8)]) for i in range(120)]
-    rows += [(3, rows[3][1]), (200, None), (201, [None] * 8), (202, [float("nan")] * 8), (203, [float("inf")] * 8), (204, [1.0]), (None, rows[0][1]), (205, rows[7][1])]
+    rows += [(3, rows[3][1]), (200, None), (201, [None] * 8), (202, [float("nan")] * 8), (203, [float("inf")] * 8), (204, [1.0]), (None, rows[0][1]), (205, rows[7][1]),
+             (0, rows[9][1]), (300, [0.5, 0.25]), (301, [0.5, -0.25]), (350, [0.1, 0.1]), (250, []), (400, [0.0] * 8), (402, rows[5][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("x", F.lit(1)).withColumn("score", F.lit("s"))
     queries = df.where("vec_id % 50 = 0 OR vec_id = 3")
-    got = sorted(tuple(r) for r in topk.top_k(df, queries, block=16).distinct().collect())
-    sound = [(i, np.floor(256 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in rows if i is not None and x is not None and len(x) == 8 and None not in x and np.isfinite(x).all()]
-    want = set()
-    for q, x in sound:
-        if q % 50 == 0:
-            best = sorted(((-int(x @ y), i) for i, y in sound if i != q))[:5]
-            want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
-    assert [g for g in got if g[0] % 50 == 0] == sorted(want)
-    assert topk.top_k(df.where("false"), df.where("false")).count() == 0
+    got = sorted(tuple(r) for r in topk.top_k(df, queries, block=block).collect())
+    # Ids 0 and 3 ask twice, each row for itself; the short vectors meet only each other.
+    assert got == best_of(rows, [r for r in rows if r[0] is not None and (r[0] % 50 == 0 or r[0] == 3)])
+    assert Counter(q for q, *_ in got)[0] == 10 and sorted(v for q, _, v, _ in got if q == 300) == [301, 350]
+    assert topk.top_k(df.where("false"), df.where("false")).count() == topk.top_k(df, df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["dense", "sparse", "copies", "hubs"])
+def test_topk_over_many_blocks(spark, monkeypatch, kind):
+    """Thresholds carry over from block to block, and ties across blocks go to the smaller id."""
+    monkeypatch.setattr(topk, "QUERIES", 20)
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 0.3, (900, 12))
+    if kind == "sparse":
+        x[rng.random(x.shape) < 0.8] = 0
+    if kind == "copies":
+        x[rng.random(900) < 0.4] = x[0]
+    if kind == "hubs":
+        x[::90] *= 20
+    rows = [(int(i), [float(v) for v in np.float32(r)]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 10 = 0"), block=64).collect())
+    assert got == best_of(rows, rows[::10])
+
+
+def test_topk_stops_early():
+    """Most queries are done before the last range of postings, and few vectors are rescored."""
+    rng = np.random.default_rng(6)
+    x = np.floor(256 * rng.normal(0, 0.3, (2048, 64))).astype(np.int64)
+    index = topk.ImpactIndex(np.arange(2048), x, topk.impact_order(x))
+    q = x[:100]
+    got = index.top(q, np.arange(100), 5, np.full(100, -np.inf))
+    plain = q @ x.T
+    for i, (rows, score) in enumerate(got):
+        plain[i, i] = -(2**62)
+        best = np.lexsort((np.arange(2048), -plain[i]))[:5]
+        assert rows.tolist() == best.tolist() and score.tolist() == plain[i][best].tolist()
+    index.ranges = index.ranges[:-1] + [(np.zeros((1, 1), np.float32), np.zeros(1))]
+    done = 0
+    for i in range(100):
+        try:
+            index.top(q[i : i + 1], np.array([i]), 5, np.full(1, -np.inf))
+            done += 1
+        except ValueError:
+            pass
+    assert done > 90
 
 
 def test_masks_hit_every_two_substitutions():
