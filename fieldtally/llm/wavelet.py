@@ -3,19 +3,21 @@
 Documents are range partitioned by id, encoded and packed, in order, into
 shards of bounded length. A payload holds the ids as bit planes: plane by
 plane from the highest bit, with the ids stably sorted by the bit just stored.
-With counts of ones per block of bits, it gives the id at a place, the number
-of occurrences before a place and the place of the k-th occurrence without
-unpacking the rest.
+The counts of ones per block of bits are stored beside the planes, so it gives
+the id at a place, the number of occurrences before a place and the place of
+the k-th occurrence from a few blocks.
 """
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,59 +26,77 @@ from fieldtally.llm.common import query, table
 from fieldtally.session import settle
 
 #: Ids in a shard, but for a document that alone has more.
-SHARD_IDS = 400_000
-#: Pieces kept in a task's table of known encodings before it starts anew.
-KNOWN_PIECES = 300_000
+SHARD_IDS = 100_000
+#: Bytes of a task's table of known encodings before it starts anew, about.
+KNOWN_BYTES = 120_000_000
 _BLOCK = 512
-_MAGIC = b"WMX1"
+_MAGIC = b"WMX2"
 
 
 class WaveletMatrix:
-    """``planes`` packed bits (highest first), ``zeros`` per plane, ``ones`` before each block of 512 bits."""
+    """Bit planes (highest first), each with the number of ones before each block of 512 bits.
 
-    def __init__(self, n: int, planes: list[np.ndarray]):
-        self.n, self.planes = n, planes
-        per_block = [np.add.reduceat(np.bitwise_count(p).astype(np.int64), np.arange(0, len(p), _BLOCK // 8)) if len(p) else np.empty(0, np.int64) for p in planes]
-        self.ones = [np.r_[0, np.cumsum(c)] for c in per_block]
-        self.zeros = [n - int(o[-1]) for o in self.ones]
+    Read from bytes, the counts are there at once and a plane's bits are
+    inflated when they are first asked for.
+    """
+
+    def __init__(self, n: int, planes: list[np.ndarray | bytes], ones: list[np.ndarray]):
+        self.n, self.planes, self.ones, self.depth = n, planes, ones, len(planes)
+        self.zeros = [n - int(o[-1]) for o in ones]
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
-        planes, now = [], ids.astype(np.uint32)
+        planes, ones, now = [], [], ids.astype(np.uint32)
         for bit in range(max(1, int(ids.max()).bit_length() if len(ids) else 1) - 1, -1, -1):
             up = (now >> np.uint32(bit)) & np.uint32(1) > 0
-            planes.append(np.packbits(up))
+            plane = np.packbits(up)
+            per_block = np.add.reduceat(np.bitwise_count(plane), np.arange(0, len(plane), _BLOCK // 8), dtype=np.int64) if len(plane) else np.empty(0, np.int64)
+            planes.append(plane)
+            ones.append(np.r_[0, np.cumsum(per_block)])
             now = np.concatenate([now[~up], now[up]])
-        return cls(len(ids), planes)
+        return cls(len(ids), planes, ones)
+
+    def _bits(self, p: int) -> np.ndarray:
+        """The packed bits of a plane."""
+        if isinstance(self.planes[p], bytes):
+            self.planes[p] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.planes[p]), np.uint8)
+        return self.planes[p]
 
     def to_bytes(self) -> bytes:
-        """Magic, length, planes; then each plane's length and its bits, compressed."""
-        packed = [zlib.compress(p.tobytes(), 1) for p in self.planes]
-        return b"".join([_MAGIC, struct.pack("<QI", self.n, len(packed)), *[struct.pack("<I", len(p)) + p for p in packed]])
+        """Magic, length, planes; then of each plane the ones per block and its bits, both compressed, with their lengths."""
+        pack = zstandard.ZstdCompressor(level=1).compress
+        out = [_MAGIC, struct.pack("<QI", self.n, self.depth)]
+        for p in range(self.depth):
+            counts, bits = pack(np.diff(self.ones[p]).astype("<u2").tobytes()), pack(self._bits(p).tobytes())
+            out += [struct.pack("<II", len(counts), len(bits)), counts, bits]
+        return b"".join(out)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
         if data[:4] != _MAGIC:
             raise ValueError("not a wavelet matrix")
-        n, count = struct.unpack_from("<QI", data, 4)
-        at, planes = 16, []
-        for _ in range(count):
-            (size,) = struct.unpack_from("<I", data, at)
-            planes.append(np.frombuffer(zlib.decompress(data[at + 4 : at + 4 + size]), np.uint8))
-            at += 4 + size
-        return cls(n, planes)
+        n, depth = struct.unpack_from("<QI", data, 4)
+        at, planes, ones = 16, [], []
+        for _ in range(depth):
+            counts, bits = struct.unpack_from("<II", data, at)
+            at += 8
+            per_block = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[at : at + counts]), "<u2")
+            ones.append(np.r_[0, np.cumsum(per_block, dtype=np.int64)])
+            planes.append(bytes(data[at + counts : at + counts + bits]))
+            at += counts + bits
+        return cls(n, planes, ones)
 
     def _rank1(self, plane: int, i: int) -> int:
         """Ones among the first i bits of a plane."""
         block, start = i // _BLOCK, i // _BLOCK * _BLOCK // 8
-        bits = np.unpackbits(self.planes[plane][start : start + _BLOCK // 8])[: i % _BLOCK]
+        bits = np.unpackbits(self._bits(plane)[start : start + _BLOCK // 8])[: i % _BLOCK]
         return int(self.ones[plane][block]) + int(bits.sum())
 
     def access(self, i: int) -> int:
         """The id at place i."""
         value = 0
-        for p in range(len(self.planes)):
-            bit = int(self.planes[p][i // 8] >> (7 - i % 8) & 1)
+        for p in range(self.depth):
+            bit = int(self._bits(p)[i // 8] >> (7 - i % 8) & 1)
             before = self._rank1(p, i)
             i = self.zeros[p] + before if bit else i - before
             value = value << 1 | bit
@@ -85,14 +105,14 @@ class WaveletMatrix:
     def _span(self, symbol: int, i: int) -> tuple[int, int]:
         """Where the first i places that hold ``symbol`` end up after the last plane."""
         lo, hi = 0, i
-        for p in range(len(self.planes)):
+        for p in range(self.depth):
             a, b = self._rank1(p, lo), self._rank1(p, hi)
-            lo, hi = (self.zeros[p] + a, self.zeros[p] + b) if symbol >> (len(self.planes) - 1 - p) & 1 else (lo - a, hi - b)
+            lo, hi = (self.zeros[p] + a, self.zeros[p] + b) if symbol >> (self.depth - 1 - p) & 1 else (lo - a, hi - b)
         return lo, hi
 
     def rank(self, symbol: int, i: int) -> int:
         """How often ``symbol`` stands among the first i places."""
-        if symbol < 0 or symbol >> len(self.planes):
+        if symbol < 0 or symbol >> self.depth:
             return 0
         lo, hi = self._span(symbol, i)
         return hi - lo
@@ -105,26 +125,26 @@ class WaveletMatrix:
         if not 0 <= k < self.count(symbol):
             raise IndexError("no such occurrence")
         at = self._span(symbol, 0)[0] + k
-        for p in range(len(self.planes) - 1, -1, -1):
-            bit = symbol >> (len(self.planes) - 1 - p) & 1
+        for p in range(self.depth - 1, -1, -1):
+            bit = symbol >> (self.depth - 1 - p) & 1
             wanted = at - self.zeros[p] if bit else at
             # The block that holds the wanted bit, then the bit in it.
             size = np.arange(len(self.ones[p])) * _BLOCK
             before = self.ones[p] if bit else np.minimum(size, self.n) - self.ones[p]
             block = int(np.searchsorted(before, wanted, "right")) - 1
-            bits = np.unpackbits(self.planes[p][block * _BLOCK // 8 : (block + 1) * _BLOCK // 8])[: self.n - block * _BLOCK]
+            bits = np.unpackbits(self._bits(p)[block * _BLOCK // 8 : (block + 1) * _BLOCK // 8])[: self.n - block * _BLOCK]
             at = block * _BLOCK + int(np.flatnonzero(bits == bit)[wanted - int(before[block])])
         return at
 
     def ids(self) -> np.ndarray:
         """All ids in order."""
-        at, out = np.arange(self.n), np.zeros(self.n, np.uint32)
-        for p in range(len(self.planes)):
-            bits = np.unpackbits(self.planes[p])[: self.n]
-            ones = np.cumsum(bits, dtype=np.int64) - bits
-            target = np.where(bits, self.zeros[p] + ones, np.arange(self.n) - ones)
-            out = out << np.uint32(1) | bits[at]
-            at = target[at]
+        # From the lowest plane up: the ids there stand in the order of that plane, and go back to that of the one above.
+        out = np.zeros(self.n, np.uint32)
+        for p in range(self.depth - 1, -1, -1):
+            up = np.unpackbits(self._bits(p))[: self.n].view(bool)
+            back = np.empty(self.n, np.uint32)
+            back[~up], back[up] = out[: self.zeros[p]], out[self.zeros[p] :] | np.uint32(1 << (self.depth - 1 - p))
+            out = back
         return out
 
 
@@ -138,28 +158,55 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # One thread a task; a pool of its own would hold memory for each of its threads.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Bytes of each token: its characters stand for one byte each.
+        names = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
+        for name, number in names.items():
+            self.bytes_of[number] = len(name)
         self._forget()
 
     def _forget(self) -> None:
         # A piece's number, and where its ids stand in ``flat``; pieces that cannot stand alone have a negative length.
         self.known: dict[str, int] = {}
         self.flat, self.first, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.held = 0
+
+    def _coded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and how many each has.
+
+        The pieces are encoded together, each behind a space; as no token
+        reaches over such a space, the tokens' bytes tell whose they are.
+        """
+        size = np.array([len(p.encode()) + 1 for p in pieces], np.int64)
+        runs = np.cumsum(size) // 16_384
+        edges = np.r_[np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]]), len(pieces)]
+        ids = [np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces[lo:hi])], add_special_tokens=False)[0].ids, np.uint32) for lo, hi in zip(edges[:-1], edges[1:])]
+        flat = np.concatenate(ids)
+        starts = np.cumsum(self.bytes_of[flat]) - self.bytes_of[flat]
+        ends = np.searchsorted(starts, np.cumsum(size), "left")
+        return flat, np.diff(ends, prepend=0)
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) > KNOWN_PIECES:
+        fresh = list(pieces.difference(self.known))
+        if not fresh:
+            return
+        if self.held > KNOWN_BYTES:
             self._forget()
-        fresh = list(pieces - self.known.keys())
-        sound = np.array([bool(p) and not p[0].isspace() and not p[-1].isspace() for p in fresh], bool)
-        coded = [c.ids for c in self.tokenizer.encode_batch_fast([" " + p for p, s in zip(fresh, sound) if s], add_special_tokens=False)]
+            fresh = list(pieces)
+        sound = np.array([p.strip() == p != "" for p in fresh], bool)
         length = np.full(len(fresh), -1, np.int64)
-        length[sound] = [len(c) for c in coded]
-        ends = len(self.flat) + np.cumsum(np.maximum(length, 0))
+        if sound.any():
+            coded, length[sound] = self._coded([p for p, s in zip(fresh, sound) if s])
+            self.flat = np.concatenate([self.flat, coded])
+        ends = len(self.flat) - (np.maximum(length, 0).sum() - np.cumsum(np.maximum(length, 0)))
         self.known.update(zip(fresh, range(len(self.first), len(self.first) + len(fresh))))
         self.first, self.length = np.r_[self.first, ends - np.maximum(length, 0)], np.r_[self.length, length]
-        self.flat = np.concatenate([self.flat, *([np.array([i for c in coded for i in c], np.uint32)] if coded else [])])
+        self.held += sum(map(len, fresh)) + 180 * len(fresh)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.split(" ") for t in texts]
