@@ -139,11 +139,11 @@ def _paired(frames: Iterator[pd.DataFrame], limit: int = 2_000_000) -> Iterator[
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """row, k1 and k2 (hash of the word sequence), n (shingles) and bands (empty without words) of (row, text)."""
+    """mark, id, k1 and k2 (hash of the word sequence), n (shingles) and bands (empty without words) of (mark, id, text)."""
 
     def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = BANDS * BAND_ROWS
-        for frame, texts in sliced(frames):
+        for frame, texts in sliced(frames, limit=1_000_000):
             of, h, tokens = shingles(texts)
             times = bag_minhash(*counted(of, h), len(texts), size).view(np.uint64).reshape(len(texts), BANDS, BAND_ROWS)
             bands = np.tile(mix(np.arange(BANDS, dtype=np.uint64)), (len(texts), 1))
@@ -155,11 +155,11 @@ def signatures(docs: DataFrame) -> DataFrame:
             total = lambda x: np.diff(np.r_[np.uint64(0), np.cumsum(x, dtype=np.uint64)][tokens.bounds])
             keys = [mix(total(mix(tokens.h + place))), mix(total(mix(tokens.h * np.uint64(3) ^ place)))]
             yield pd.DataFrame({
-                "row": frame["row"], "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64), "n": n,
+                "mark": frame["mark"], "id": frame["id"], "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64), "n": n,
                 "bands": [b if k else [] for b, k in zip(bands, n)],
             })
 
-    return docs.mapInPandas(part, "row long, k1 long, k2 long, n long, bands array<long>")
+    return docs.mapInPandas(part, "mark binary, id string, k1 long, k2 long, n long, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
@@ -278,13 +278,14 @@ def _with_hubs(open_: DataFrame) -> DataFrame:
     return settle(open_.join(named, "bucket").where("id <> hub"), "hubs")
 
 
-def _linked(nodes: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
-    """(id, comp) of the nodes (id, n, bands) that are similar to another one."""
+def _linked(nodes: DataFrame, named: DataFrame, similar: float) -> DataFrame:
+    """(id, comp) of the nodes (id, mark, n, bands) that are similar to another one; ``named`` has the texts by mark."""
     buckets = nodes.select("id", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("lead"), F.max("id").alias("last")).where("lead.id <> last")
     members = settle(buckets.join(shared.select("bucket", "lead"), "bucket"), "members")
-    known = members.select(F.col("id").alias("row")).distinct()
-    texts = settle(rows.join(known, "row", "left_semi").select(F.col("row").alias("id"), "text"), "texts")
+    wanted = nodes.select("id", "mark").join(members.select("id").distinct(), "id")
+    # Rows with equal marks have equal texts.
+    texts = settle(named.select("mark", "text").join(wanted, "mark").select("id", "text").dropDuplicates(["id"]), "texts")
     classes = _Classes(texts, similar)
     # First the smallest of each node's leaders, which joins most of what belongs together.
     nearest = members.where("id <> lead.id").groupBy("id").agg(F.min("lead").alias("lead"), F.min("n").alias("n"))
@@ -301,31 +302,35 @@ def _linked(nodes: DataFrame, rows: DataFrame, similar: float) -> DataFrame:
     return classes.comp
 
 
-_ROW = "__row"
+_MARK = "__mark"
 
 
-def _classed(docs: DataFrame, doc_id: str, text: str, similar: float) -> tuple[DataFrame, DataFrame]:
-    """(``docs`` with a number for each row, written once; row, id, class_id and head): the head is the row of the
-    class with the smallest id, rows without one last."""
-    rows = settle(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
-    named = rows.select(F.col(_ROW).alias("row"), F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sigs = settle(signatures(named.select("row", "text")), "signatures")
-    keyed = sigs.select("row", "k1", "k2", "n").join(named.select("row", "id"), "row")
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")
+def _mark(doc_id: Column, text: Column) -> Column:
+    """A digest of a row's id and text: rows that share it differ in nothing that counts here."""
+    name = F.coalesce(F.concat(F.lit("i"), doc_id.cast("string")), F.lit("n"))
+    return F.unhex(F.md5(F.concat(name, F.lit(" "), F.coalesce(text, F.lit(""))).cast("binary")))
+
+
+def _classed(docs: DataFrame, doc_id: str, text: str, similar: float) -> DataFrame:
+    """row, id, mark, n, class_id, head and head_mark of every row: the head is the row of the class with the smallest
+    id, rows without one last."""
+    named = docs.select(
+        F.col(doc_id).cast("long").cast("string").alias("id"), _mark(F.col(doc_id).cast("long"), F.col(text)).alias("mark"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+    )
+    numbered = signatures(named).withColumn("id", F.col("id").cast("long")).withColumn("row", F.monotonically_increasing_id())
+    sigs = settle(numbered, "signatures")
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark", "row")
     # Equal word sequences are one node, so copies never make pairs.
-    exact = settle(keyed.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min(place).alias("head")), "exact")
-    heads = exact.select(F.col("node").alias("row"))
-    nodes = sigs.join(heads, "row", "left_semi").select(F.col("row").alias("id"), "n", "bands")
-    comp = _linked(nodes, named, similar)
-    of_node = comp.join(exact.select(F.col("node").alias("id"), "head"), "id")
+    exact = settle(sigs.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min(place).alias("head")), "exact")
+    nodes = sigs.join(exact.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("id"), "mark", "n", "bands")
+    of_node = _linked(nodes, named, similar).join(exact.select(F.col("node").alias("id"), "head"), "id")
     of_comp = of_node.groupBy("comp").agg(F.min("head").alias("first"))
     linked = of_node.join(of_comp, "comp").select(F.col("id").alias("node"), "first")
     classes = exact.join(linked, "node", "left").select("k1", "k2", F.coalesce("first", "head").alias("first"))
-    found = keyed.join(classes, ["k1", "k2"], "left")
-    return rows, found.select(
-        "row", "id", F.when(F.col("n") > 0, F.col("first.id")).otherwise(F.col("id")).alias("class_id"),
-        F.when(F.col("n") > 0, F.col("first.row")).otherwise(F.col("row")).alias("head"),
-    )
+    found = sigs.select("row", "id", "mark", "k1", "k2", "n").join(classes, ["k1", "k2"], "left")
+    of = lambda mine, first: F.when(F.col("n") > 0, F.col(f"first.{first}")).otherwise(F.col(mine))
+    return found.select("row", "id", "mark", "n", of("id", "id").alias("class_id"), of("row", "row").alias("head"), of("mark", "mark").alias("head_mark"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
@@ -338,8 +343,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents without words (NULL, empty) are classes of their own. Further
     columns play no part.
     """
-    _, found = _classed(docs.select(doc_id, text), doc_id, text, similar)
-    found = settle(found.select("id", "class_id"), "classes")
+    found = settle(_classed(docs, doc_id, text, similar).select("id", "class_id"), "classes")
     several = found.where("id IS NOT NULL").groupBy("id").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where("lo <> hi")
     if not several.isEmpty():
         links = found.join(several.select("id", "lo"), "id").where("lo <> class_id").select(F.col("lo").alias("a"), F.col("class_id").alias("b")).distinct()
@@ -354,9 +358,16 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sim
     Every row stands for itself here: different texts under one id are kept,
     each in its own class, and so are all rows without words.
     """
-    rows, found = _classed(docs, doc_id, text, similar)
-    gone = settle(found.where("row <> head").select(F.col("row").alias(_ROW)), "copies")
-    return rows.join(gone, _ROW, "left_anti").select(*docs.columns)
+    found = settle(_classed(docs, doc_id, text, similar).where("n > 0").select("mark", "head_mark"), "heads")
+    counted = found.groupBy("mark").agg(F.first(F.col("mark") == F.col("head_mark")).alias("stays"), F.count(F.lit(1)).alias("times"))
+    marked = docs.withColumn(_MARK, _mark(F.col(doc_id).cast("long"), F.col(text)))
+    named = lambda df: settle(df.select(F.col("mark").alias(_MARK)), "marks")
+    kept = marked.join(named(counted.where("NOT stays")), _MARK, "left_anti")
+    # Rows with the same id and text as a head: one of them.
+    again = named(counted.where("stays AND times > 1"))
+    if not again.isEmpty():
+        kept = kept.join(again, _MARK, "left_semi").dropDuplicates([_MARK]).union(kept.join(again, _MARK, "left_anti"))
+    return kept.select(*docs.columns)
 
 
 @query("op3_neardup")
