@@ -25,12 +25,13 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.common import query, table
-from fieldtally.llm.wordhash import Tokens, mix, run_inside, runs, sliced
+from fieldtally.llm.wordhash import Tokens, mix, run_inside, runs
 from fieldtally.session import settle
 
 SHINGLE, BANDS, BAND_ROWS, SIMILAR = 5, 40, 7, 0.8
@@ -127,72 +128,79 @@ def difference(hub: Bag, bag: Bag) -> tuple[int, int, np.ndarray]:
     return int(lacks.sum()), int(adds.sum()), np.packbits(flags).view(np.int64)
 
 
-def _paired(frames: Iterator[pd.DataFrame], limit: int = 2_000_000) -> Iterator[tuple[pd.DataFrame, list[Bag], list[Bag]]]:
-    """Cut batches of text pairs (t_a, t_b) by bytes; yields the piece and the bags of both sides."""
-    for frame in frames:
-        a, b = ([t.encode("utf-8", "surrogatepass") for t in frame[c]] for c in ("t_a", "t_b"))
-        size = np.cumsum([len(x) + len(y) for x, y in zip(a, b)]) // limit
-        edges = np.r_[0, np.flatnonzero(np.diff(size)) + 1, len(frame)] if len(frame) else []
+def _pieces(batches: Iterator[pa.RecordBatch], *texts: str, limit: int = 1_000_000) -> Iterator[tuple]:
+    """Cut Arrow batches so that the texts of a piece have about ``limit`` bytes (more only if one row has); yields the
+    piece and its texts as UTF-8. Only a piece's texts become Python objects, whatever the batch holds."""
+    for batch in batches:
+        columns = [batch.column(c).cast(pa.binary()) for c in texts]
+        size = np.cumsum(sum(pc.binary_length(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)) // limit
+        edges = np.r_[np.flatnonzero(np.r_[True, size[1:] != size[:-1]]), len(size)] if len(size) else []
         for lo, hi in zip(edges[:-1], edges[1:]):
-            found = bags(a[lo:hi] + b[lo:hi])
-            yield frame.iloc[lo:hi], found[: hi - lo], found[hi - lo :]
+            yield batch.slice(lo, hi - lo), *[c.slice(lo, hi - lo).to_pylist() for c in columns]
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """mark, id, k1 and k2 (hash of the word sequence), n (shingles) and bands (empty without words) of (mark, id, text)."""
 
-    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = BANDS * BAND_ROWS
-        for frame, texts in sliced(frames, limit=1_000_000):
+        for piece, texts in _pieces(batches, "text"):
             of, h, tokens = shingles(texts)
             times = bag_minhash(*counted(of, h), len(texts), size).view(np.uint64).reshape(len(texts), BANDS, BAND_ROWS)
             bands = np.tile(mix(np.arange(BANDS, dtype=np.uint64)), (len(texts), 1))
             for k in range(BAND_ROWS):
                 bands = mix(bands * np.uint64(0x9FB21C651E98DF25) + times[:, :, k])
-            bands = bands.view(np.int64)
             n = np.bincount(of, minlength=len(texts))
             place = mix(np.arange(len(tokens), dtype=np.uint64) - np.repeat(tokens.bounds[:-1], np.diff(tokens.bounds)).astype(np.uint64))
             total = lambda x: np.diff(np.r_[np.uint64(0), np.cumsum(x, dtype=np.uint64)][tokens.bounds])
             keys = [mix(total(mix(tokens.h + place))), mix(total(mix(tokens.h * np.uint64(3) ^ place)))]
-            yield pd.DataFrame({
-                "mark": frame["mark"], "id": frame["id"], "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64), "n": n,
-                "bands": [b if k else [] for b, k in zip(bands, n)],
-            })
+            ends = np.r_[0, np.cumsum(np.where(n > 0, BANDS, 0))].astype(np.int32)
+            yield _batch(
+                mark=piece.column("mark"), id=piece.column("id"), k1=keys[0].view(np.int64), k2=keys[1].view(np.int64), n=n.astype(np.int64),
+                bands=pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[n > 0].view(np.int64).ravel())),
+            )
 
-    return docs.mapInPandas(part, "mark binary, id string, k1 long, k2 long, n long, bands array<long>")
+    return docs.mapInArrow(part, "mark binary, id long, k1 long, k2 long, n long, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """Those of the distinct pairs (a, b, n_a, n_b) whose texts are similar, as (a, b)."""
 
-    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, a, b in _paired(frames):
-            yield frame.loc[[similarity(x, y) >= similar for x, y in zip(a, b)], ["a", "b"]]
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, a, b in _pieces(batches, "t_a", "t_b"):
+            found = bags(a + b)
+            yes = pa.array([similarity(x, y) >= similar for x, y in zip(found, found[len(a) :])])
+            yield _batch(a=piece.column("a").filter(yes), b=piece.column("b").filter(yes))
 
     # The smaller bag must hold this share of the larger one.
     able = pairs.where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (similar - 1e-9)).select("a", "b").distinct()
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t_{c}"))
-    return settle(able.join(side("a"), "a").join(side("b"), "b").mapInPandas(part, "a long, b long"), "links")
+    return settle(able.join(side("a"), "a").join(side("b"), "b").mapInArrow(part, "a long, b long"), "links")
 
 
 def _from_hubs(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """hub, id, n, size (of the hub), mass and cost of the difference, and its bitmap, of the distinct (hub, id, n)."""
     part_of = similar / (1 + similar)
 
-    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, hubs, members in _paired(frames):
-            rows = [difference(*pair) for pair in zip(hubs, members)]
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, hubs, members in _pieces(batches, "t_a", "t_b"):
+            found = bags(hubs + members)
+            rows = [difference(*pair) for pair in zip(found, found[len(hubs) :])]
             lacks, adds = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
             bits = np.stack([r[2] for r in rows])
-            yield pd.DataFrame({
-                "hub": frame["a"], "id": frame["b"], "n": frame["n"], "size": [int(w.sum()) for _, w in hubs], "mass": lacks + adds,
-                "cost": (1 - part_of) * lacks + part_of * adds, **{f"d{k}": bits[:, k] for k in range(WORDS_64)},
-            })
+            yield _batch(
+                hub=piece.column("a"), id=piece.column("b"), n=piece.column("n"), size=[int(found[i][1].sum()) for i in range(len(hubs))],
+                mass=lacks + adds, cost=(1 - part_of) * lacks + part_of * adds, **{f"d{k}": np.ascontiguousarray(bits[:, k]) for k in range(WORDS_64)},
+            )
 
     side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t_{c}"))
     both = pairs.select(F.col("hub").alias("a"), F.col("id").alias("b"), "n").distinct().join(side("a"), "a").join(side("b"), "b")
     kinds = ", ".join(f"d{k} long" for k in range(WORDS_64))
-    return settle(both.mapInPandas(part, f"hub long, id long, n long, size long, mass long, cost double, {kinds}"), "differences")
+    return settle(both.mapInArrow(part, f"hub long, id long, n long, size long, mass long, cost double, {kinds}"), "differences")
 
 
 def _possible(differences: DataFrame, classes: _Classes, similar: float) -> DataFrame:
@@ -315,11 +323,10 @@ def _classed(docs: DataFrame, doc_id: str, text: str, similar: float) -> DataFra
     """row, id, mark, n, class_id, head and head_mark of every row: the head is the row of the class with the smallest
     id, rows without one last."""
     named = docs.select(
-        F.col(doc_id).cast("long").cast("string").alias("id"), _mark(F.col(doc_id).cast("long"), F.col(text)).alias("mark"),
+        F.col(doc_id).cast("long").alias("id"), _mark(F.col(doc_id).cast("long"), F.col(text)).alias("mark"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    numbered = signatures(named).withColumn("id", F.col("id").cast("long")).withColumn("row", F.monotonically_increasing_id())
-    sigs = settle(numbered, "signatures")
+    sigs = settle(signatures(named).withColumn("row", F.monotonically_increasing_id()), "signatures")
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark", "row")
     # Equal word sequences are one node, so copies never make pairs.
     exact = settle(sigs.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min(place).alias("head")), "exact")
