@@ -53,7 +53,8 @@ def metric_steps(group):
               FROM ranked WHERE actual"""
     per = f"""SELECT {group}, season, count(*) FILTER (actual AND predicted) / any_value(k) AS precision_at_k,
                      avg(abs(y - p)) FILTER (actual) AS mae_at_k, any_value(rho) AS spearman_at_k
-              FROM ranked LEFT JOIN (SELECT {group}, season, corr(ry, rp) AS rho FROM top GROUP BY ALL)
+              FROM ranked LEFT JOIN (SELECT {group}, season, CASE WHEN stddev_pop(ry) > 0 AND stddev_pop(rp) > 0 THEN corr(ry, rp) END AS rho
+                                     FROM top GROUP BY {group}, season)
                    USING ({group}, season)
               WHERE n >= k GROUP BY {group}, season"""
     return {"ranked": ranked, "top": top, "per": per}
