@@ -24,10 +24,21 @@ def _split(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _masked(line: Column) -> Column:
+def _tokens(line: Column) -> Column:
     # Splitting at one plain character needs no pattern, which would be compiled for each line.
-    tokens = F.filter(F.split(F.regexp_replace(line, r"[\x09-\x0D]", " "), " "), lambda t: t != "")
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+    return F.filter(F.split(line, " "), lambda t: t != "")
+
+
+def _masked(text: Column) -> Column:
+    """The tokens of every line, fields blanked; a line of nothing but fields keeps its tokens."""
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09\x0B-\x0D]", " ")
+    # One pattern over the whole text; its possessive parts keep it linear for tokens of any length.
+    blank = F.regexp_replace(plain, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
+    said = lambda both: F.transform(
+        F.array(_tokens(both["blank"])), lambda m: F.when(F.exists(m, lambda t: t != FIELD), m).otherwise(_tokens(both["plain"]))
+    )
+    lines = F.arrays_zip(F.split(plain, "\n").alias("plain"), F.split(blank, "\n").alias("blank"))
+    return F.transform(lines, lambda both: F.get(said(both), 0))
 
 
 def _key(masked: Column) -> Column:
@@ -38,6 +49,10 @@ def _leaf(masked: Column) -> Column:
     return F.xxhash64(F.size(masked), F.slice(masked, 1, DEPTH))
 
 
+def _row(doc_id: Column, text: Column) -> Column:
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\n"), F.coalesce(text, F.lit("")))))
+
+
 def drop_template_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs: int = 3, fixed: float = 0.7, common: float = 0.2,
 ) -> DataFrame:
@@ -47,34 +62,38 @@ def drop_template_lines(
     of them are dropped. A token is fixed if at least two and a share
     ``common`` of the leaf's different lines have it at its place, or the leaf
     has one line only; a line is generalised if a share ``fixed`` of its
-    tokens is. Lines of fewer than three tokens are never dropped.
+    tokens is. A line of one or two tokens has a leaf to itself, so it is
+    dropped where it recurs as it is, digits aside. A line of nothing but
+    fields, such as a number, recurs only unchanged. Lines without a token are
+    layout and stay.
 
     NULL and empty texts are one empty line; a line may have any length; rows
-    that share an id, and rows without one, count as one document; further
-    columns play no part.
+    that share an id, and rows without one, count as one document, but each
+    is worked on by itself, under a digest of id and text; further columns
+    play no part.
     """
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _row(F.col(doc_id), F.col(text)).alias("row"))
     # As the generator's output, a line's tokens are worked out once, whatever is read of them later.
-    masked = base.select("doc_id", F.explode(F.transform(_split(F.col("text")), _masked)).alias("masked"))
+    masked = base.select("doc_id", "row", F.posexplode(_masked(F.col("text"))).alias("at", "masked"))
     lines = settle(
-        masked.where(F.size("masked") >= DEPTH).select("doc_id", _leaf(F.col("masked")).alias("leaf"), _key(F.col("masked")).alias("line")).distinct(),
+        masked.where(F.size("masked") > 0).select("doc_id", "row", "at", _leaf(F.col("masked")).alias("leaf"), _key(F.col("masked")).alias("line")),
         "lines",
     )
     # A leaf that one document has alone holds nothing that recurs.
     leaves = lines.groupBy("leaf").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max(F.col("doc_id").isNull()).alias("none"))
     lively = leaves.where("lo < hi OR (none AND lo IS NOT NULL)").select("leaf")
     candidates = settle(lines.join(lively, "leaf"), "candidates")
-    # Words of each different candidate line, once.
-    wanted = candidates.groupBy("doc_id").agg(F.collect_set("line").alias("wanted"))
-    named = wanted.withColumnRenamed("doc_id", "of_doc")
-    # A leaf with one line keeps it as it is; only the others are looked into.
-    forms = candidates.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"))
+    # A leaf with one line keeps it as it is; of the others, the words of each different line are read at one place.
+    forms = candidates.groupBy("leaf", "line").agg(F.min(F.struct("row", "at")).alias("place"))
     sizes = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("forms"))
-    texts = base.join(named, F.col("doc_id").eqNullSafe(F.col("of_doc"))).select(
-        "wanted", F.explode(F.transform(_split(F.col("text")), _masked)).alias("masked")
+    wanted = forms.join(sizes.where("forms > 1"), "leaf").groupBy(F.col("place.row").alias("row")).agg(
+        F.collect_list(F.struct("place.at", "leaf", "line", "forms")).alias("wanted")
     )
-    texts = texts.where(F.array_contains("wanted", _key(F.col("masked")))).select(_leaf(F.col("masked")).alias("leaf"), _key(F.col("masked")).alias("line"), "masked")
-    distinct = settle(texts.dropDuplicates(["leaf", "line"]).join(sizes.where("forms > 1"), "leaf"), "forms")
+    texts = base.join(wanted, "row").select("wanted", _masked(F.col("text")).alias("masked"))
+    found = texts.select(F.inline(F.transform("wanted", lambda w: F.struct(
+        w["leaf"].alias("leaf"), w["line"].alias("line"), w["forms"].alias("forms"), F.get(F.col("masked"), w["at"]).alias("masked")
+    ))))
+    distinct = settle(found.dropDuplicates(["leaf", "line"]), "forms")
     placed = distinct.select("leaf", "line", "forms", F.posexplode("masked").alias("place", "token"))
     support = placed.groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("support"))
     judged = placed.join(support, ["leaf", "place", "token"]).withColumn(
@@ -87,16 +106,19 @@ def drop_template_lines(
     ).where(F.col("n_kept") >= F.col("n") * fixed)
     template = general.select("leaf", "line", F.xxhash64("leaf", F.col("slots.token")).alias("general"))
     shaped = settle(
-        candidates.join(template, ["leaf", "line"], "left").select("doc_id", "line", F.coalesce("general", F.xxhash64("leaf", "line")).alias("template")),
+        candidates.join(template, ["leaf", "line"], "left").select(
+            "doc_id", "row", "at", F.coalesce("general", F.xxhash64("leaf", "line")).alias("template")
+        ),
         "templates",
     )
     in_docs = shaped.select("template", "doc_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
-    bad = shaped.join(in_docs.where(F.col("docs") >= min_docs), "template").groupBy("doc_id").agg(F.collect_set("line").alias("bad"))
-    marked = base.join(bad.withColumnRenamed("doc_id", "bad_doc"), F.col("doc_id").eqNullSafe(F.col("bad_doc")), "left")
-    split = marked.select("doc_id", "bad", _split(F.col("text")).alias("lines"))
-    kept = F.when(F.col("bad").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x: ~F.array_contains("bad", _key(_masked(x))))
-    )
+    gone = shaped.join(in_docs.where(F.col("docs") >= min_docs), "template").groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("gone"))
+    split = base.join(gone, "row", "left").select("doc_id", F.col("gone"), _split(F.col("text")).alias("lines"))
+    # The stretches between dropped lines, one slice each: linear however many lines there are and go.
+    after = lambda i: F.when(i > 0, F.get("gone", i - 1) + 1).otherwise(F.lit(0))
+    until = lambda i: F.coalesce(F.get("gone", i), F.size("lines"))
+    stretches = F.transform(F.sequence(F.lit(0), F.size("gone")), lambda i: F.slice("lines", after(i) + 1, until(i) - after(i)))
+    kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.flatten(stretches))
     return split.withColumn("kept", kept).select(
         "doc_id", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
         F.array_join("kept", "\n").alias("kept"),
