@@ -31,14 +31,14 @@ def _tokens(line: Column) -> Column:
 
 def _masked(text: Column) -> Column:
     """The tokens of every line, fields blanked; a line of nothing but fields keeps its tokens."""
-    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09\x0B-\x0D]", " ")
-    # One pattern over the whole text; its possessive parts keep it linear for tokens of any length.
-    blank = F.regexp_replace(plain, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
-    said = lambda both: F.transform(
-        F.array(_tokens(both["blank"])), lambda m: F.when(F.exists(m, lambda t: t != FIELD), m).otherwise(_tokens(both["plain"]))
-    )
-    lines = F.arrays_zip(F.split(plain, "\n").alias("plain"), F.split(blank, "\n").alias("blank"))
-    return F.transform(lines, lambda both: F.get(said(both), 0))
+    spaced = lambda part: F.regexp_replace(part, r"[\x09\x0B-\x0D]", " ")
+    # Cut at its first digit, which becomes a 0: then the tokens that end in 0 are those with a digit.
+    cut = F.regexp_replace(spaced(F.coalesce(text, F.lit(""))), r"[0-9][^ \n]*+", "0")
+    field = lambda t: F.endswith(t, F.lit("0"))
+    bare = lambda line: F.forall(F.split(line, " "), lambda t: (t == "") | field(t))
+    blank = lambda t: F.when(field(t), F.lit(FIELD)).otherwise(t)
+    lines = F.arrays_zip(_split(text).alias("plain"), F.split(cut, "\n").alias("cut"))
+    return F.transform(lines, lambda x: F.when(bare(x["cut"]), _tokens(spaced(x["plain"]))).otherwise(F.transform(_tokens(x["cut"]), blank)))
 
 
 def _key(masked: Column) -> Column:
