@@ -377,6 +377,46 @@ def test_leaks(spark, odd, limit):
     assert decontaminate.leaks(odd, bench).count() == 0 and decontaminate.leaks(odd.where("false"), bench.where("false")).count() == 0
 
 
+def leaks_by_hand(docs, bench):
+    """(doc_id, item_id) of every two that share a run along any alignment."""
+    say = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    out = set()
+    for i, text in docs:
+        w = say(text)
+        for item, passage in bench:
+            p = say(passage)
+            span = min(len(p), 13)
+            spare = 2 if len(p) >= 13 else 1 if len(p) >= 10 else 0
+            for start in range(-len(p), len(w) if p else 0):
+                same = [0 <= start + k < len(w) and w[start + k] == x for k, x in enumerate(p)]
+                inside = [0 <= start + k < len(w) for k in range(len(p))]
+                runs = (k for k in range(len(p) - span + 1) if all(inside[k : k + span]))
+                if any(sum(same[k : k + span]) >= span - spare for k in runs) and (len(p) >= decontaminate.PASSAGE or w == p):
+                    out.add((i, item))
+    return out
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_leaks_by_brute_force(spark, limit):
+    rng = random.Random(5)
+    bench = [(n, " ".join(f"b{rng.randrange(400)}" for _ in range(n))) for n in (1, 3, 4, 5, 7, 8, 9, 10, 11, 12, 13, 14, 20, 40)]
+    bench += [(50, "yes yes yes yes yes yes"), (51, None), (52, "")]
+    docs = []
+    for n, text in bench[:14]:
+        docs += [(rng.choice([None, 7, n]), text), (n, "so " + text + " it ends")]
+        for edits in (1, 2, 3):
+            words = text.split()
+            for k in rng.sample(range(n), min(n, edits)):
+                words[k] = "other"
+            docs.append((rng.choice([None, 7, 100 + n]), f"before {' '.join(words)} after"))
+    docs += [(60, "yes " * 9), (61, "yes yes yes"), (62, None), (63, ""), *docs[:6]]
+    got = decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"), broadcast_rows=limit
+    ).collect()
+    assert len(got) == len({(r.doc_id, r.item_id) for r in got})
+    assert {(r.doc_id, r.item_id) for r in got} == leaks_by_hand(docs, bench)
+
+
 def test_quality(spark):
     labels = pd.read_parquet("/root/testdata/sf0.01/labels.parquet")
     got = QUERIES["op8_quality"](spark, "/root/testdata/sf0.01").toPandas()
