@@ -1,6 +1,7 @@
 """Substring dedup: passages of 13 words or more that an earlier document has are removed.
 
-1. Documents are dealt to shards of bounded size by id. Each shard picks
+1. Documents are dealt to shards of bounded size by id and text, so that rows
+   without an id or with a repeated one don't meet in one shard. Each shard picks
    anchor phrases of its texts: of every eight neighbouring six-word runs the
    one with the smallest hash. Every 13-word window holds an anchor, and equal
    windows hold equal ones.
@@ -105,7 +106,7 @@ def repeated_passages(
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(2 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(total / shard_bytes))
     dealt = base.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"),
         F.col("doc_id").isNotNull().alias("named"), "text",
     )
 
