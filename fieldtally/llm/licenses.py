@@ -1,8 +1,8 @@
 """License scan: a trained paragraph classifier whose findings are confirmed against templates.
 
 Paragraphs end at blank lines; line breaks inside one don't matter, and long
-ones are read in sections that overlap by the longest template. Word pairs,
-hashed, feed a multinomial logistic regression over licence families and
+ones are read in sections that overlap by the longest template. Word pairs
+feed a multinomial logistic regression over licence families and
 ``unknown``. It learns from the templates below, alone and inside sections of
 the corpus, against those sections and against sentences that only speak of
 licences. A temperature calibrates its probabilities on templates and sections
@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import CountVectorizer, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,7 +123,8 @@ UNKNOWN = "unknown"
 NEGATIVES = 1_000
 #: Words of a section.
 SECTION = 96
-FEATURES = 1 << 16
+#: Training rows that must hold a word pair for it to be a feature; a section meets a template in one of two rows.
+MIN_ROWS = 3
 #: Least share of a template's word pairs that confirms it.
 CONFIRMED = 0.6
 
@@ -156,16 +157,15 @@ def sections(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     stride = SECTION - max(len(words) for family in TEMPLATES for words in _template_words(family))
     found = docs.select(
         F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.col(text), r"\n[ \t\r]*\n")).alias("paragraph", "content")
-    ).select("doc_id", "paragraph", _words(F.col("content")).alias("all")).where(F.size("all") > 0)
+    ).select("doc_id", "paragraph", _words(F.col("content")).alias("all"))
     last = F.greatest(F.lit(0), F.ceil((F.size("all") - SECTION) / stride).cast("int")) * stride
     cut = F.transform(F.sequence(F.lit(0), last, F.lit(stride)), lambda at: F.struct(at.alias("start"), F.slice("all", at + 1, SECTION).alias("words")))
-    return found.select("doc_id", "paragraph", F.inline(cut))
+    return found.select("doc_id", "paragraph", F.inline(F.when(F.size("all") > 0, cut)))
 
 
-def _featured(rows: DataFrame) -> DataFrame:
-    """Adds ``features`` from ``words``."""
-    paired = NGram(n=2, inputCol="words", outputCol="grams").transform(rows)
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(paired)
+def _grams(rows: DataFrame) -> DataFrame:
+    """Adds ``grams`` from ``words``."""
+    return NGram(n=2, inputCol="words", outputCol="grams").transform(rows)
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,13 +200,16 @@ class LicenseModel:
     """The regression with its temperature, the least probability at which a family is named, and the probability of
     ``unknown`` from which a section is passed over."""
 
-    def __init__(self, model, temperature: float, least: float = 0.5, sure: float = 0.5):
-        self.model, self.temperature, self.least, self.sure = model, temperature, least, sure
+    def __init__(self, vocabulary, model, temperature: float, least: float = 0.5, sure: float = 0.5):
+        self.vocabulary, self.model, self.temperature, self.least, self.sure = vocabulary, model, temperature, least, sure
 
     @classmethod
     def fit(cls, spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LicenseModel:
         """Fitted on all training rows; the temperature on the rows of each half, scored by a fit on the other one."""
-        rows = settle(_featured(training_rows(spark, docs, doc_id, text)).select("label", "half", "features"), "licence-rows")
+        grams = settle(_grams(training_rows(spark, docs, doc_id, text)).select("label", "half", "grams"), "licence-rows")
+        vocabulary = CountVectorizer(inputCol="grams", outputCol="features", minDF=MIN_ROWS, binary=True).fit(grams)
+        # A pair that one half lacks is 0 in all its rows, and so is its weight there.
+        rows = vocabulary.transform(grams).drop("grams")
         fit = LogisticRegression(maxIter=40, regParam=1e-3, family="multinomial", probabilityCol="", predictionCol="")
         # At most a few thousand rows, whatever the corpus.
         scored = [fit.fit(rows.where(F.col("half") == 1 - k).coalesce(1)).transform(rows.where(F.col("half") == k)) for k in (0, 1)]
@@ -215,11 +218,14 @@ class LicenseModel:
         loss = lambda t: F.avg(F.log(F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp((z - F.get("z", F.col("label").cast("int"))) / t))))
         losses = raw.agg(*[loss(t).alias(str(i)) for i, t in enumerate(temperatures)]).first()
         best = min((i for i in range(len(temperatures)) if losses[i] is not None), key=lambda i: losses[i], default=6)
-        return cls(fit.fit(rows.coalesce(1)), temperatures[best])
+        return cls(vocabulary, fit.fit(rows.coalesce(1)), temperatures[best])
 
     def classify(self, rows: DataFrame) -> DataFrame:
         """Adds guess (a family or unknown) and its class's probability to rows with ``words``; rows that are surely unknown go."""
-        scored = self.model.transform(_featured(rows)).withColumn("z", vector_to_array("rawPrediction"))
+        scored = self.model.transform(self.vocabulary.transform(_grams(rows)))
+        # A generator is computed once; the filter below would otherwise be pushed down with the scores inside its lambda.
+        once = F.inline(F.array(F.struct(vector_to_array("rawPrediction").alias("z"))))
+        scored = scored.select(*rows.columns, once)
         names = F.array(*[F.lit(f) for f in [*TEMPLATES, UNKNOWN]])
         whole = lambda z, top: F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp((x - top) / self.temperature))
         shares = scored.withColumn("nothing", 1 / whole(F.col("z"), F.element_at("z", -1))).where(F.col("nothing") < self.sure)
@@ -227,7 +233,7 @@ class LicenseModel:
         guess = F.get(names, (F.array_position("z", top) - 1).cast("int"))
         return shares.withColumn("probability", 1 / whole(F.col("z"), top)).withColumn(
             "guess", F.when(F.col("probability") >= self.least, guess).otherwise(F.lit(UNKNOWN))
-        ).drop("grams", "features", "z", "rawPrediction", "nothing")
+        ).drop("z", "nothing")
 
 
 def _template_sets(family: str) -> Column:

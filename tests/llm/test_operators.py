@@ -472,9 +472,7 @@ def test_licenses_brute_force(spark):
     frame = spark.createDataFrame(sorted(planted.items()), "doc_id long, text string")
     model = licenses.LicenseModel.fit(spark, frame)
     weights, bias = model.model.coefficientMatrix.toArray(), model.model.interceptVector.toArray()
-    from pyspark.ml.feature import HashingTF
-
-    place, known = HashingTF(numFeatures=licenses.FEATURES).indexOf, {}
+    place = {pair: i for i, pair in enumerate(model.vocabulary.vocabulary)}
     names = [*licenses.TEMPLATES, licenses.UNKNOWN]
     stride = licenses.SECTION - max(len(w) for f in licenses.TEMPLATES for w in licenses._template_words(f))
     want = []
@@ -485,7 +483,7 @@ def test_licenses_brute_force(spark):
             while words:
                 part = words[start : start + licenses.SECTION]
                 pairs = {f"{x} {y}" for x, y in zip(part, part[1:])}
-                slots = sorted({known[p] if p in known else known.setdefault(p, place(p)) for p in pairs})
+                slots = [place[p] for p in pairs if p in place]
                 z = (weights[:, slots].sum(1) + bias) / model.temperature
                 p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
                 if p[-1] < model.sure:
