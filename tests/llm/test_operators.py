@@ -72,6 +72,21 @@ def test_passages_odd(odd, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_passages_repeated_ids(spark):
+    """Rows without id and an id repeated with other texts: spread over the shards, in any row order, as brute force has it."""
+    rng = random.Random(9)
+    shared = [" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(40)) for _ in range(20)) for _ in range(6)]
+    text = lambda: " ".join([f"u{rng.randrange(999)}", rng.choice(shared), f"v{rng.randrange(999)}"])
+    rows = [(None, text()) for _ in range(3000)] + [(5, text()) for _ in range(300)] + [(i, text()) for i in range(2, 40)]
+    want = sorted(removed([r for r in rows if r[0] is not None]))
+    for _ in range(2):
+        rng.shuffle(rows)
+        got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), shard_bytes=20_000).collect()
+        named = [(r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in got if r.doc_id is not None]
+        assert sorted(named) == want
+        assert [r.n_removed for r in got if r.doc_id is None] == [0] * 3000
+
+
 def test_templates(spark):
     rows = [(i, f"Page {i} of 90 printed by the office\n{'abcdefgh'[i] * 3} begins the words that nobody else has\nshort") for i in range(5)]
     rows += [(5, "logged in from the main office: anna as user"), (6, "logged in from the main office: otto as user"),
