@@ -12,6 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -100,15 +101,36 @@ def gram_table(train: DataFrame, cols: Sequence[str], y: str, by: Sequence[str])
 
     One aggregate for all groups, combined before the shuffle: a task sends
     one row per group, however many rows it read. ``products`` is the upper
-    triangle, row by row, with ``y`` as the last column.
+    triangle, row by row, with ``y`` as the last column. The products of a
+    batch of rows are one matrix product per group, so that only one row per
+    batch and group is added up.
     """
-    width = len(cols) + 1
-    values = train.select(*by, F.array(*[F.col(c).cast("double") for c in (*cols, y)]).alias("_z"))
-    row = lambda v, i: F.transform(F.slice("_z", i + 1, F.lit(width) - i), lambda w: v * w)
-    sums = values.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_train"),
-        Summarizer.sum(array_to_vector("_z")).alias("_sums"),
-        Summarizer.sum(array_to_vector(F.flatten(F.transform("_z", row)))).alias("_products"),
+    by, width = list(by), len(cols) + 1
+    names = [f"_z{i}" for i in range(width)]
+    values = train.select(*by, *[F.col(c).cast("double").alias(z) for c, z in zip((*cols, y), names)])
+
+    def batch_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper = np.triu_indices(width)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z = np.column_stack([batch.column(len(by) + i).to_numpy(zero_copy_only=False) for i in range(width)])
+            columns, parts = [], [z]
+            if by:
+                keys = pa.table({f"k{i}": batch.column(i) for i in range(len(by))} | {"row": np.arange(len(z))})
+                groups = keys.group_by([f"k{i}" for i in range(len(by))], use_threads=False).aggregate([("row", "list")])
+                columns = [groups.column(f"k{i}").combine_chunks() for i in range(len(by))]
+                parts = [z[rows.values.to_numpy()] for rows in groups.column("row_list").combine_chunks()]
+            columns.append(pa.array([len(x) for x in parts], pa.int64()))
+            columns.append(pa.array([x.sum(0) for x in parts], pa.list_(pa.float64())))
+            columns.append(pa.array([(x.T @ x)[upper] for x in parts], pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays(columns, [*by, "_n", "_s", "_p"])
+
+    shape = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in values.select(*by).schema)
+    sums = values.mapInArrow(batch_sums, f"{shape}_n bigint, _s array<double>, _p array<double>").groupBy(*by).agg(
+        F.sum("_n").alias("n_train"),
+        Summarizer.sum(array_to_vector("_s")).alias("_sums"),
+        Summarizer.sum(array_to_vector("_p")).alias("_products"),
     )
     return sums.select(*by, "n_train", vector_to_array("_sums").alias("sums"), vector_to_array("_products").alias("products"))
 

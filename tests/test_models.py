@@ -53,6 +53,25 @@ def test_grouped_ridge_reads_the_rows_once(spark, plan):
     assert text.count("Exchange") == 1 and "partial_" in text
 
 
+def test_gram_sums_of_many_batches_and_odd_groups(spark, plan):
+    """Groups over several batches, a NULL key, keys of two types and no key at all; no product is taken row by row."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(25_000, 3))
+    keys = [(None if i % 7 == 0 else i % 3, None if i % 5 == 0 else f"g{i % 2}") for i in range(len(x))]
+    df = spark.createDataFrame([(*k, *map(float, r)) for k, r in zip(keys, x)], "a bigint, b string, x double, z double, y double")
+    df = df.repartition(2)
+    fitted = regression.gram_table(df, ["x", "z"], "y", ["a", "b"])
+    got = {(r["a"], r["b"]): r for r in fitted.collect()}
+    assert set(got) == set(keys)
+    for key, r in got.items():
+        part = x[[k == key for k in keys]]
+        assert r["n_train"] == len(part) and np.allclose(r["sums"], part.sum(0))
+        assert np.allclose(r["products"], (part.T @ part)[np.triu_indices(3)])
+    (whole,) = regression.gram_table(df, ["x", "z"], "y", []).collect()
+    assert whole["n_train"] == len(x) and np.allclose(whole["products"], (x.T @ x)[np.triu_indices(3)])
+    assert "lambda" not in plan(fitted)
+
+
 def test_grouped_ridge_of_nothing(spark):
     df, cols = grouped(spark)
     assert regression.ridge_table(df.where("false"), cols, "y", ["g"], 1.0).count() == 0
