@@ -70,11 +70,11 @@ def _rows(shard: int, found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFram
 _ROWS = "key long, shard int, lo long, more long"
 
 
-def locate(automaton: ahocorasick.Automaton, words: list[bytes]) -> np.ndarray:
-    """Word numbers at which patterns (words with a space around each) start."""
-    text = (b" " + b" ".join(words) + b" ").decode("latin-1")
+def locate(automaton: ahocorasick.Automaton, tokens: Tokens) -> np.ndarray:
+    """Word numbers at which patterns (words with a space around each) start, over all texts laid end to end."""
+    text = (b" " + b" ".join(tokens.data.split()) + b" ").decode("latin-1")
     starts = [end - length for end, length in automaton.iter(text)]
-    first = np.cumsum([0] + [len(w) + 1 for w in words])
+    first = np.cumsum(np.r_[0, tokens.end - tokens.start + 1])
     # The pattern's leading space stands at start + 1, the word behind it.
     return np.searchsorted(first, np.asarray(starts, int) + 1)
 
@@ -140,14 +140,12 @@ def repeated_passages(
         automaton.make_automaton()
         for part, texts in sliced([named]):
             tokens = Tokens(texts)
-            h, keep = runs(tokens.h, window, 1), np.zeros(len(tokens), bool)
-            for b, e, content in zip(tokens.bounds[:-1], tokens.bounds[1:], texts):
-                if e - b >= window:
-                    hits = locate(automaton, content.split())
-                    for back in range(window - phrase + 1):
-                        start = hits - back
-                        keep[b + start[(start >= 0) & (start + window <= e - b)]] = True
-            at = np.flatnonzero(keep)
+            h, near = runs(tokens.h, window, 1), np.zeros(len(tokens) + 1, int)
+            # A phrase across two texts counts for nothing: no window of one text covers it.
+            hits = locate(automaton, tokens)
+            np.add.at(near, np.maximum(hits - (window - phrase), 0), 1)
+            np.add.at(near, hits + 1, -1)
+            at = np.flatnonzero((np.cumsum(near)[: len(h)] > 0) & run_inside(tokens.bounds, window, len(tokens)))
             key, lo, hi = _extent(h[at], part["doc_id"].to_numpy()[tokens.text_of()[at]])
             found.append((np.r_[key, key], np.r_[lo, hi]))
         return _rows(int(frame["shard"].iloc[0]), found)

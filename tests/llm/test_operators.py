@@ -64,6 +64,18 @@ def test_passages(spark, documents):
     assert got == sorted(removed(list(zip(documents.doc_id, documents.text))))
 
 
+def test_phrases_are_located_over_texts_laid_end_to_end():
+    import ahocorasick
+    from fieldtally.llm import wordhash
+
+    automaton = ahocorasick.Automaton()
+    for pattern in (" a b ", " b a "):
+        automaton.add_word(pattern, len(pattern))
+    automaton.make_automaton()
+    tokens = wordhash.Tokens([b"x a  b", b"", b"a\tb\n", b"\xc3\xa9 a b"])
+    assert sorted(passages.locate(automaton, tokens).tolist()) == [1, 2, 3, 6]
+
+
 def test_passages_odd(odd, empty):
     got = passages.repeated_passages(odd).collect()
     named = [(r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in got if r.doc_id is not None]
