@@ -11,12 +11,18 @@ the k-th occurrence from a few blocks.
 from __future__ import annotations
 
 import os
+import string
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -27,8 +33,10 @@ from fieldtally.session import settle
 
 #: Ids in a shard, but for a document that alone has more.
 SHARD_IDS = 100_000
-#: Bytes of a task's table of known encodings before it starts anew, about.
-KNOWN_BYTES = 120_000_000
+#: Bytes of a Python worker's table of known encodings before it starts anew, about.
+KNOWN_BYTES = 60_000_000
+#: Characters of the texts whose pieces are looked up together, but for a text that alone has more.
+CHARS = 6_000_000
 _BLOCK = 512
 _MAGIC = b"WMX2"
 
@@ -46,9 +54,10 @@ class WaveletMatrix:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
-        planes, ones, now = [], [], ids.astype(np.uint32)
-        for bit in range(max(1, int(ids.max()).bit_length() if len(ids) else 1) - 1, -1, -1):
-            up = (now >> np.uint32(bit)) & np.uint32(1) > 0
+        depth = max(1, int(ids.max()).bit_length() if len(ids) else 1)
+        planes, ones, now = [], [], ids.astype(np.uint16 if depth <= 16 else np.uint32)
+        for bit in range(depth - 1, -1, -1):
+            up = now & now.dtype.type(1 << bit) != 0
             plane = np.packbits(up)
             per_block = np.add.reduceat(np.bitwise_count(plane), np.arange(0, len(plane), _BLOCK // 8), dtype=np.int64) if len(plane) else np.empty(0, np.int64)
             planes.append(plane)
@@ -149,12 +158,14 @@ class WaveletMatrix:
 
 
 class Encoder:
-    """Encodes whole texts with a tokenizer, each distinct space-separated piece once.
-
-    The vocabulary's splitting rule never joins characters across a single
-    space, which belongs to the piece behind it. So a text in which no piece
-    is empty or has white space at an end is encoded piece by piece; any other
-    text as it is.
+    """Encodes whole texts with a tokenizer, each distinct piece of them once.
+
+    Texts are cut where the vocabulary's splitting rule always cuts, whatever
+    stands further left or right: before a single space, which belongs to the
+    piece behind it, between a letter or digit and a full stop or comma, and
+    on both sides of a single line break between other characters. A text in
+    which a piece is a space alone or has other white space at an end is
+    encoded as it is.
     """
 
     def __init__(self, path: str):
@@ -168,65 +179,115 @@ class Encoder:
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
         for name, number in names.items():
             self.bytes_of[number] = len(name)
+        code = np.arange(256)
+        self.shown = (code > 0x20) & (code < 0x7F)
+        self.wordly = np.isin(code, np.frombuffer((string.ascii_letters + string.digits).encode(), np.uint8))
         self._forget()
 
     def _forget(self) -> None:
-        # A piece's number, and where its ids stand in ``flat``; pieces that cannot stand alone have a negative length.
-        self.known: dict[str, int] = {}
+        # Each known piece, and where its ids stand in ``flat``; pieces that cannot stand alone have a negative length.
+        self.known = pa.array([], pa.string())
         self.flat, self.first, self.length = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.held = 0
 
-    def _coded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _cut(self, texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+        """All pieces, one after the other, and the number of the first piece of each text, with their count at the end."""
+        raw = [t.encode() for t in texts]
+        data = b"".join(raw)
+        ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
+        # A byte on either side spares the ends of the data an exception.
+        b = np.frombuffer(b" " + data + b" ", np.uint8)
+        cut = b == 0x20
+        # Letters and digits: ASCII, and U+00C0 to U+00FF but for the two signs among them.
+        word = lambda at: self.wordly[b[at]] | ((b[at - 1] == 0xC3) & (b[at] != 0x97) & (b[at] != 0xB7))
+        marks = np.flatnonzero((b == 0x2E) | (b == 0x2C))
+        cut[marks[word(marks - 1)]] = True
+        lines = np.flatnonzero(b == 0x0A)
+        lines = lines[(self.shown[b[lines - 1]] | word(lines - 1)) & (self.shown[b[lines + 1]] | (b[lines + 1] == 0xC3))]
+        cut[lines] = cut[lines + 1] = True
+        cut = cut[1:]
+        cut[np.r_[0, ends]] = True
+        offsets = np.flatnonzero(cut).astype(np.int32)
+        return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)), np.searchsorted(offsets, np.r_[0, ends])
+
+    def _together(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, one after the other, and how many each has.
 
-        The pieces are encoded together, each behind a space; as no token
-        reaches over such a space, the tokens' bytes tell whose they are.
+        Each piece begins with a space, or a line break and no other white
+        space behind it, and ends in none. No token reaches over such a place,
+        so some hundred pieces are encoded as one text, and the tokens' bytes
+        tell whose they are.
         """
-        size = np.array([len(p.encode()) + 1 for p in pieces], np.int64)
-        runs = np.cumsum(size) // 16_384
-        edges = np.r_[np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]]), len(pieces)]
-        ids = [np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces[lo:hi])], add_special_tokens=False)[0].ids, np.uint32) for lo, hi in zip(edges[:-1], edges[1:])]
+        offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64)
+        runs = offsets[:-1] // 1_024
+        edges = offsets[np.r_[np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]]), len(pieces)]].tolist()
+        data, ids = pieces.buffers()[2].to_pybytes(), []
+        for at in range(0, len(edges) - 1, 500):
+            some = edges[at : at + 501]
+            texts = [data[lo:hi].decode() for lo, hi in zip(some[:-1], some[1:])]
+            ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         flat = np.concatenate(ids)
-        starts = np.cumsum(self.bytes_of[flat]) - self.bytes_of[flat]
-        ends = np.searchsorted(starts, np.cumsum(size), "left")
+        ends = np.searchsorted(np.cumsum(self.bytes_of[flat]) - self.bytes_of[flat], offsets[1:] - offsets[0], "left")
         return flat, np.diff(ends, prepend=0)
 
-    def _learn(self, pieces: set[str]) -> None:
-        fresh = list(pieces.difference(self.known))
-        if not fresh:
-            return
-        if self.held > KNOWN_BYTES:
+    def _add(self, pieces: pa.StringArray, flat: np.ndarray, skip: int, length: np.ndarray) -> None:
+        """Keep pieces whose ids follow each other in ``flat``, each behind ``skip`` others."""
+        own = np.maximum(length, 0)
+        self.first = np.r_[self.first, len(self.flat) + np.cumsum(own + skip) - own]
+        self.length, self.flat = np.r_[self.length, length], np.r_[self.flat, flat]
+        self.known = pa.concat_arrays([self.known, pieces])
+
+    def _learn(self, pieces: pa.StringArray) -> np.ndarray:
+        """The numbers of distinct pieces."""
+        if self.known.nbytes + self.flat.nbytes + self.first.nbytes + self.length.nbytes > KNOWN_BYTES:
             self._forget()
-            fresh = list(pieces)
-        sound = np.array([p.strip() == p != "" for p in fresh], bool)
-        length = np.full(len(fresh), -1, np.int64)
-        if sound.any():
-            coded, length[sound] = self._coded([p for p, s in zip(fresh, sound) if s])
-            self.flat = np.concatenate([self.flat, coded])
-        ends = len(self.flat) - (np.maximum(length, 0).sum() - np.cumsum(np.maximum(length, 0)))
-        self.known.update(zip(fresh, range(len(self.first), len(self.first) + len(fresh))))
-        self.first, self.length = np.r_[self.first, ends - np.maximum(length, 0)], np.r_[self.length, length]
-        self.held += sum(map(len, fresh)) + 180 * len(fresh)
+        at = pc.index_in(pieces, value_set=self.known)
+        fresh = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        at = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        unknown = pieces.take(pa.array(fresh))
+        # No white space at an end but a single space before it, told by the commonest characters; the few others are looked at one by one.
+        usual = pc.match_substring_regex(unknown, r"\A ?[!-~\x{C0}-\x{FF}]((?s:.)*[!-~\x{C0}-\x{FF}])?\z").to_numpy(zero_copy_only=False)
+        spaced = pc.starts_with(unknown, " ").to_numpy(zero_copy_only=False)
+        for kind, skip in ((usual & spaced, 0), (usual & ~spaced, 1), (~usual, 0)):
+            if not kind.any():
+                continue
+            some = unknown.filter(pa.array(kind))
+            at[fresh[kind]] = len(self.known) + np.arange(len(some))
+            if kind[~usual].any():
+                texts = some.to_pylist()
+                body = [p[1:] if p[0] == " " else p for p in texts]
+                sound = np.array([p == "\n" or x.strip() == x != "" for p, x in zip(texts, body)], bool)
+                ids = [e.ids if s else [] for e, s in zip(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), sound)]
+                flat, length = np.fromiter(chain.from_iterable(ids), np.uint32), np.where(sound, list(map(len, ids)), -1)
+            else:
+                flat, length = self._together(pc.binary_join_element_wise("\n", some, "") if skip else some)
+                length = length - skip
+            self._add(some, flat, skip, length)
+        return at
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.split(" ") for t in texts]
-        # The first piece has no space before it; it is encoded with the whole texts.
-        bodies = [pieces[1:] for pieces in split]
-        self._learn(set().union(*bodies))
-        out = []
-        codes = [np.fromiter(map(self.known.__getitem__, body), np.int64, len(body)) for body in bodies]
-        odd = [bool((self.length[c] < 0).any()) or p[0] == "" or p[0][0].isspace() or p[0][-1].isspace() for c, p in zip(codes, split)]
-        heads = self.tokenizer.encode_batch_fast([t if o else p[0] for t, o, p in zip(texts, odd, split)], add_special_tokens=False)
-        for head, code, o in zip(heads, codes, odd):
-            ids = np.array(head.ids, np.uint32)
-            if not o:
-                length = self.length[code]
-                ends = np.cumsum(length)
-                places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[code] - ends + length, length)
-                ids = np.concatenate([ids, self.flat[places]])
-            out.append(ids)
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        pieces, bounds = self._cut(texts)
+        if not len(pieces):
+            return [np.empty(0, np.uint32) for _ in texts]
+        distinct = pieces.dictionary_encode()
+        code = self._learn(distinct.dictionary)[distinct.indices.to_numpy()]
+        length = self.length[code]
+        odd = np.diff(np.r_[0, np.cumsum(length < 0)][bounds]) > 0
+        length = np.maximum(length, 0)
+        ends = np.cumsum(length)
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.first[code] - ends + length, length)]
+        edges = np.r_[0, ends][bounds]
+        out = [ids[lo:hi] for lo, hi in zip(edges[:-1], edges[1:])]
+        at = np.flatnonzero(odd)
+        for i, e in zip(at, self.tokenizer.encode_batch_fast([texts[i] for i in at], add_special_tokens=False)):
+            out[i] = np.array(e.ids, np.uint32)
         return out
 
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; the pieces of some million characters are looked up together."""
+        parts = np.cumsum([len(t) for t in texts]) // CHARS
+        edges = np.r_[0, np.flatnonzero(np.diff(parts)) + 1, len(texts)]
+        return [ids for lo, hi in zip(edges[:-1], edges[1:]) for ids in self._encode(texts[lo:hi])]
+
 
 def encoded_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", shard_ids: int = SHARD_IDS) -> DataFrame:
     """The written shards: part, shard, first (ids before it in its part), doc_ids, lengths and payload.
@@ -240,7 +301,12 @@ def encoded_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, doc_id: str
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        # Kept by the Python worker, so that its later tasks know the pieces of earlier ones; this module itself may not be there.
+        kept = vars(sys.modules.setdefault("_fieldtally_encoders", ModuleType("_fieldtally_encoders")))
+        seen = (tokenizer, os.stat(tokenizer).st_mtime_ns)
+        if seen not in kept:
+            kept[seen] = Encoder(tokenizer)
+        encoder, part = kept[seen], TaskContext.get().partitionId()
         ids, names, size, first, shard = [], [], 0, 0, 0
 
         def packed() -> pd.DataFrame:
@@ -250,8 +316,8 @@ def encoded_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, doc_id: str
             })
 
         for frame in frames:
-            for at in range(0, len(frame), 500):
-                piece = frame.iloc[at : at + 500]
+            for at in range(0, len(frame), 2_500):
+                piece = frame.iloc[at : at + 2_500]
                 for name, known, coded in zip(piece["doc_id"], piece["named"], encoder.encode(piece["text"].tolist())):
                     if size and size + len(coded) + 1 > shard_ids:
                         yield packed()

@@ -293,6 +293,28 @@ def test_encoder_equals_whole_texts():
     assert [list(g) for g in wavelet.Encoder(path).encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_of_odd_neighbours():
+    """Every two characters at which texts may be cut, beside each other in random order."""
+    path, plain = tokenizer()
+    parts = [*"aZé×÷1_.,'日\u0301\u00bd", " ", "  ", "\n", "\r\n", "\t", "\x1c", "\x85", "\xa0", "\u3000", "'s", "!?", "<|endoftext|>"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(5000)]
+    assert [list(g) for g in wavelet.Encoder(path).encode(texts)] == [e.ids for e in plain.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_encoder_meets_a_word_once(monkeypatch):
+    """Words beside marks and line breaks, and in later calls, are not encoded again; a full table starts anew."""
+    path, plain = tokenizer()
+    encoder, want = wavelet.Encoder(path), lambda texts: [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    first, later = ["Alpha beta gamma.\nAlpha beta, gamma beta"], ["Alpha gamma, beta.\nAlpha", "Alpha beta beta gamma."]
+    assert [list(g) for g in encoder.encode(first)] == want(first)
+    known = len(encoder.known)
+    assert [list(g) for g in encoder.encode(later)] == want(later) and len(encoder.known) == known
+    monkeypatch.setattr(wavelet, "KNOWN_BYTES", 1)
+    monkeypatch.setattr(wavelet, "CHARS", 10)
+    assert [list(g) for g in encoder.encode(first + later)] == want(first + later) and len(encoder.known) < known
+
+
 def coded(docs, plain):
     at = 0
     for i, t in docs:
