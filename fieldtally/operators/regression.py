@@ -13,6 +13,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -204,13 +205,18 @@ def fit_boosted(
     """Gradient-boosted regression trees.
 
     A few hundred trees are some thousand short jobs, so few rows are put into
-    few partitions: about 200,000 rows each.
+    few partitions: about 200,000 rows each. The fit reads the rows four times
+    before its own binned copy exists; they are kept on the executors' disks
+    meanwhile, or every pass would assemble the vectors anew.
     """
-    train = train.coalesce(max(1, train.count() // 200_000))
-    return GBTRegressor(
-        featuresCol=features, labelCol=y, maxIter=trees, stepSize=rate, maxDepth=depth,
-        subsamplingRate=row_share, featureSubsetStrategy=str(column_share), seed=seed, predictionCol="_fit",
-    ).fit(train)
+    kept = train.select(y, features).coalesce(max(1, train.count() // 200_000)).persist(StorageLevel.DISK_ONLY)
+    try:
+        return GBTRegressor(
+            featuresCol=features, labelCol=y, maxIter=trees, stepSize=rate, maxDepth=depth,
+            subsamplingRate=row_share, featureSubsetStrategy=str(column_share), seed=seed, predictionCol="_fit",
+        ).fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def add_fit(df: DataFrame, model, base: str, out: str) -> DataFrame:

@@ -34,3 +34,21 @@ def test_boosted_fit_repeats_and_learns(spark):
     error = lambda m: m.transform(rows).agg(F.avg(F.abs(F.col("y") - F.col("_fit")))).first()[0]
     assert error(few) == error(same) and error(more) < error(few)
     assert abs(sum(few.featureImportances.toArray()) - 1) < 1e-9
+
+
+def test_boosted_fit_makes_its_rows_once(spark):
+    """However often the fit reads its rows, the steps before it run once a row, and nothing stays behind."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        made.add(1)
+        return float(x % 20)
+
+    rows = spark.range(400).select(counted("id").alias("x"), (F.col("id") % 20 * 3.0).alias("y"))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = fit_boosted(assemble(rows, ["x"]), "y", 5)
+    assert made.value == 400 and spark.sparkContext._jsc.getPersistentRDDs().size() <= held
+    plain = spark.range(400).select((F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20 * 3.0).alias("y"))
+    drawn = lambda m: [t.toDebugString.split("\n", 1)[1] for t in m.trees]  # the first line holds a random name
+    assert drawn(model) == drawn(fit_boosted(assemble(plain, ["x"]), "y", 5))
