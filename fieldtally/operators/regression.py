@@ -21,6 +21,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldtally.operators.boosting import fit_trees
 from fieldtally.operators.ordering import exact_medians
 from fieldtally.session import settle
 
@@ -205,16 +206,19 @@ def fit_boosted(
     """Gradient-boosted regression trees.
 
     A few hundred trees are some thousand short jobs, so few rows are put into
-    few partitions: about 200,000 rows each. The fit reads the rows four times
-    before its own binned copy exists; they are kept on the executors' disks
-    meanwhile, or every pass would assemble the vectors anew.
+    few partitions: about 200,000 rows each. The fit reads the rows several
+    times before its own binned copy exists; they are kept on the executors'
+    disks meanwhile, or every pass would assemble the vectors anew. Rows that
+    fill more than one such partition are counted in blocks, for the same trees.
     """
-    kept = train.select(y, features).coalesce(max(1, train.count() // 200_000)).persist(StorageLevel.DISK_ONLY)
+    rows = train.count()
+    kept = train.select(y, features).coalesce(max(1, rows // 200_000)).persist(StorageLevel.DISK_ONLY)
+    estimator = GBTRegressor(
+        featuresCol=features, labelCol=y, maxIter=trees, stepSize=rate, maxDepth=depth,
+        subsamplingRate=row_share, featureSubsetStrategy=str(column_share), seed=seed, predictionCol="_fit",
+    )
     try:
-        return GBTRegressor(
-            featuresCol=features, labelCol=y, maxIter=trees, stepSize=rate, maxDepth=depth,
-            subsamplingRate=row_share, featureSubsetStrategy=str(column_share), seed=seed, predictionCol="_fit",
-        ).fit(kept)
+        return fit_trees(kept, rows, estimator) if rows > 200_000 else estimator.fit(kept)
     finally:
         kept.unpersist()
 
