@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 
 from fieldtally.session import file_system, shared_dir
 
-BINS = 32
 # Rows from which the bins are found, as in Spark; more rows are sampled to about so many.
 BIN_ROWS = 10_000
 # Trees after which the rows' predictions are written, so that a lost block never means older trees again.
@@ -220,9 +219,9 @@ def _edges(values: np.ndarray, expected: float, bins: int) -> np.ndarray:
     return np.array(kept)
 
 
-def bin_edges(rows: DataFrame, n: int, seed: int) -> list[np.ndarray]:
+def bin_edges(rows: DataFrame, n: int, bins: int, seed: int) -> list[np.ndarray]:
     """The bins of every column of (y, array) rows, from all rows or a sample of about ``BIN_ROWS``."""
-    share = min(1.0, BIN_ROWS / n)
+    share = min(1.0, max(bins * bins, BIN_ROWS) / n)
     if share < 1:
         # The sample of the JVM's own class, which DataFrame.sample is not.
         drawn = int(_first_draw(seed))
@@ -231,7 +230,7 @@ def bin_edges(rows: DataFrame, n: int, seed: int) -> list[np.ndarray]:
         rows = DataFrame(sample, session)
     x = rows.toArrow().column(1).combine_chunks()
     values = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
-    return [_edges(column, share * n, min(BINS, n)) for column in values.T]
+    return [_edges(column, share * n, min(bins, n)) for column in values.T]
 
 
 def _first_draw(seed: int) -> int:
@@ -329,7 +328,7 @@ def _java_tree(session, tree, edges):
 
 
 def fit_trees(kept: DataFrame, n: int, estimator: GBTRegressor) -> GBTRegressionModel:
-    """What ``estimator.fit(kept)`` returns, for squared error and columns that are all numbers.
+    """What ``estimator.fit(kept)`` returns, for squared error, columns that are all numbers and no least node size.
 
     ``kept`` has ``n`` rows of (label, vector), in partitions of which each
     fits into a task's memory at a byte per value. Per tree and level one job
@@ -340,13 +339,13 @@ def fit_trees(kept: DataFrame, n: int, estimator: GBTRegressor) -> GBTRegression
     session, get = kept.sparkSession, estimator.getOrDefault
     depth, rate, row_share, seed, trees = (get(x) for x in ("maxDepth", "stepSize", "subsamplingRate", "seed", "maxIter"))
     rows = kept.select(kept[get("labelCol")].cast("double"), vector_to_array(kept[get("featuresCol")]))
-    edges = bin_edges(rows, n, seed)
+    edges = bin_edges(rows, n, get("maxBins"), seed)
     # A sample a little larger than expected can end in a bin more.
     wanted, width = int(np.ceil(float(get("featureSubsetStrategy")) * len(edges))), max(len(e) for e in edges) + 1
     packed = rows.mapInArrow(_packed(edges, width), "pairs binary, y binary").rdd.mapPartitionsWithIndex(_opened)
     packed = packed.coalesce(max(1, n // TASK_ROWS))
     shared_dir(session)
-    state, splits, values, grown, written = None, [], None, [], None
+    before, state, splits, values, grown, written = None, None, [], None, [], None
     try:
         for m in range(trees):
             step = _advanced(splits, values, m, rate, depth, width, row_share, seed)
@@ -365,8 +364,9 @@ def fit_trees(kept: DataFrame, n: int, estimator: GBTRegressor) -> GBTRegression
             for node, found in tree.items():
                 values[node] = _mean(found[0])
     finally:
-        if state is not None:
-            state.unpersist()
+        for held in (before, state):
+            if held is not None:
+                held.unpersist()
         _remove(session, written)
     jvm, gateway = session._jvm, session.sparkContext._gateway
     regression = jvm.org.apache.spark.ml.regression

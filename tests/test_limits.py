@@ -94,8 +94,10 @@ def test_trees_by_blocks_are_those_of_the_library(spark, tmp_path, n, parts, col
 
 def test_trees_by_blocks_refuse_what_the_library_refuses(spark):
     rows = assemble(spark.createDataFrame([(1.0, 2.0), (2.0, float("nan"))], "x double, y double"), ["x"])
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
     with pytest.raises(Exception, match="finite"):
         boosting.fit_trees(rows, 2, GBTRegressor(labelCol="y", maxIter=2, featureSubsetStrategy="0.8"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
 
 
 def test_many_rows_are_fitted_by_blocks(spark, monkeypatch):
