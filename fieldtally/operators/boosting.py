@@ -1,8 +1,8 @@
 """Gradient-boosted regression trees whose rows lie in blocks of bin numbers.
 
 The trees are those of Spark's ``GBTRegressor`` for squared error: the same
-bins, the same drawn rows and columns, the same choice of splits (up to the
-order of additions), and a ``GBTRegressionModel`` as the result. What differs
+bins, the same drawn rows and columns, the same choice of splits (but for gains
+that only rounding tells apart), and a ``GBTRegressionModel`` as the result. What differs
 is the pass over the rows, of which a few hundred trees need some thousand.
 There a row is an object that is made anew by each pass; here rows lie in
 blocks, two bytes per row and pair of columns, and a pass counts a block pair
